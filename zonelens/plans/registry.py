@@ -19,11 +19,20 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def round_half_up(c, digits: int = 6):
+    """Round through decimal(38, 12): half-up on the decimal value, identical in Spark and
+    in the SQL oracle (a plain double round differs between engines at exact ties such
+    as 2.0534375).  Non-finite values pass through."""
+    x = c.cast("double")
+    dec = F.round(x.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.coalesce(dec, F.round(x, digits)))
+
+
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            cols.append(round_half_up(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

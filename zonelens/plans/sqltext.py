@@ -20,7 +20,10 @@ def in_list(values: Sequence[str]) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, 6)"
+    """Half-up rounding through DECIMAL(38, 12), as the Spark side does."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN isnan({x}) OR isinf({x}) THEN {x} "
+            f"ELSE coalesce(CAST(round(TRY_CAST({x} AS DECIMAL(38, 12)), 6) AS DOUBLE), round({x}, 6)) END)")
 
 
 def valid_events(measures: Sequence[str] = EVENT_MEASURES) -> str:
