@@ -1,0 +1,153 @@
+"""Porter stemmer (the published algorithm with the common extensions of the NLTK
+default mode), a per-word helper.  It runs on the *distinct* tokens of a corpus only
+(see ``zonelens.operators.text.stem_tokens``), so its Python cost grows with the
+vocabulary, not with the corpus."""
+from __future__ import annotations
+
+from functools import lru_cache
+
+# Irregular forms mapped to their stem (extension mode)
+IRREGULAR = {
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe", "proceed": "proceed",
+    "exceed": "exceed", "succeed": "succeed",
+}
+VOWELS = frozenset("aeiou")
+
+
+def _cons(w: str, i: int) -> bool:
+    c = w[i]
+    if c in VOWELS:
+        return False
+    if c == "y":
+        return True if i == 0 else not _cons(w, i - 1)
+    return True
+
+
+def _m(stem: str) -> int:
+    seq = "".join("c" if _cons(stem, i) else "v" for i in range(len(stem)))
+    return seq.count("vc")
+
+
+def _has_vowel(stem: str) -> bool:
+    return any(not _cons(stem, i) for i in range(len(stem)))
+
+
+def _double_cons(w: str) -> bool:
+    return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
+
+
+def _cvc(w: str) -> bool:
+    n = len(w)
+    if n >= 3 and _cons(w, n - 3) and not _cons(w, n - 2) and _cons(w, n - 1) and w[-1] not in "wxy":
+        return True
+    return n == 2 and not _cons(w, 0) and _cons(w, 1)
+
+
+def _rules(word: str, rules) -> str:
+    """First rule whose suffix matches decides: applied if its condition holds, else the
+    word is returned unchanged."""
+    for suffix, repl, cond in rules:
+        if suffix == "*d":
+            if _double_cons(word):
+                stem = word[:-2]
+                return stem + repl if cond is None or cond(stem) else word
+            continue
+        if word.endswith(suffix):
+            stem = word[: len(word) - len(suffix)]
+            return stem + repl if cond is None or cond(stem) else word
+    return word
+
+
+def _pos(stem: str) -> bool:
+    return _m(stem) > 0
+
+
+def _gt1(stem: str) -> bool:
+    return _m(stem) > 1
+
+
+def _step1a(w: str) -> str:
+    if w.endswith("ies") and len(w) == 4:
+        return w[:-3] + "ie"
+    return _rules(w, [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)])
+
+
+def _step1b(w: str) -> str:
+    if w.endswith("ied"):
+        return w[:-3] + ("ie" if len(w) == 4 else "i")
+    if w.endswith("eed"):
+        stem = w[:-3]
+        return stem + "ee" if _m(stem) > 0 else w
+    inter = None
+    for suffix in ("ed", "ing"):
+        if w.endswith(suffix) and _has_vowel(w[: len(w) - len(suffix)]):
+            inter = w[: len(w) - len(suffix)]
+            break
+    if inter is None:
+        return w
+    last = inter[-1] if inter else ""
+    return _rules(inter, [
+        ("at", "ate", None), ("bl", "ble", None), ("iz", "ize", None),
+        ("*d", last, lambda s: last not in ("l", "s", "z")),
+        ("", "e", lambda s: _m(s) == 1 and _cvc(s)),
+    ])
+
+
+def _step1c(w: str) -> str:
+    return _rules(w, [("y", "i", lambda s: len(s) > 1 and _cons(s, len(s) - 1))])
+
+
+STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+         ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+         ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+         ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+         ("fulli", "ful")]
+STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
+         ("ness", "")]
+STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism",
+         "ate", "iti", "ous", "ive", "ize"]
+
+
+def _step2(w: str) -> str:
+    if w.endswith("alli") and _pos(w[:-4]):
+        return _step2(w[:-4] + "al")
+    rules = [(s, r, _pos) for s, r in STEP2]
+    rules.append(("logi", "log", lambda s: _pos(w[:-3])))
+    return _rules(w, rules)
+
+
+def _step3(w: str) -> str:
+    return _rules(w, [(s, r, _pos) for s, r in STEP3])
+
+
+def _step4(w: str) -> str:
+    rules = []
+    for s in STEP4:
+        cond = (lambda st: _gt1(st) and st[-1:] in ("s", "t")) if s == "ion" else _gt1
+        rules.append((s, "", cond))
+    return _rules(w, rules)
+
+
+def _step5(w: str) -> str:
+    if w.endswith("e"):
+        stem = w[:-1]
+        m = _m(stem)
+        if m > 1 or (m == 1 and not _cvc(stem)):
+            w = stem
+    if _m(w[:-1]) > 1 and w.endswith("ll"):
+        w = w[:-1]
+    return w
+
+
+@lru_cache(maxsize=1 << 16)
+def stem(word: str) -> str:
+    w = word.lower()
+    if w in IRREGULAR:
+        return IRREGULAR[w]
+    if len(w) <= 2:
+        return w
+    for step in (_step1a, _step1b, _step1c, _step2, _step3, _step4, _step5):
+        w = step(w)
+    return w
