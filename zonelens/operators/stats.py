@@ -109,7 +109,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], *, dropna: bool =
     src = df.dropna(how="any", subset=list(columns)) if dropna else df
 
     def corr(a, b):
-        return F.lit(1.0) if a == b else F.corr(a, b)
+        if a == b:
+            return F.lit(1.0)
+        # covariance over the product of deviations; a constant column has no
+        # correlation (NaN, as in Spark ML) instead of failing on a zero division
+        r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
+        return F.when(F.count(F.lit(1)) > 1, F.coalesce(r, F.lit(float("nan"))))
 
     # the diagonal is 1 by definition (as in Spark ML's Correlation), even for a
     # constant column whose off-diagonal entries are undefined
