@@ -60,7 +60,11 @@ def _stem_udf(words: pd.Series) -> pd.Series:
 def stem_table(tokens: DataFrame, col: str = "tokens") -> DataFrame:
     """(token, stem) for every distinct token of the corpus."""
     distinct = tokens.select(F.explode(col).alias("token")).distinct()
-    return distinct.select("token", _stem_udf("token").alias("stem"))
+    # the stemmer is CPU-bound Python: keep as many partitions as the shuffle setting
+    # (sized for the data) instead of letting adaptive execution coalesce the small
+    # distinct-token table into a few tasks
+    n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct.repartition(n, "token").select("token", _stem_udf("token").alias("stem"))
 
 
 def stemmed(tokens: DataFrame, col: str = "tokens") -> DataFrame:
@@ -121,7 +125,13 @@ def vocabulary(tf: DataFrame, n_docs, *, min_df: int = 3, max_df: float = 0.9,
 
 def tfidf(proc: DataFrame, *, min_df: int = 3, max_df: float = 0.9, max_features: int = 5000,
           n_max: int = 2) -> TfidfResult:
-    """Smoothed TF-IDF postings of the processed documents (long form)."""
+    """Smoothed TF-IDF postings of the processed documents (long form).
+
+    The processed corpus feeds both the document count and the term frequencies, so it
+    is checkpointed once (eagerly) instead of being recomputed per branch."""
+    from zonelens.operators.zones import checkpointed
+
+    proc = checkpointed(proc.select("doc_id", "words"))
     tf = term_frequencies(doc_terms(proc, n_max))
     n_docs = proc.agg(F.count(F.lit(1))).scalar()
     vocab = vocabulary(tf, n_docs, min_df=min_df, max_df=max_df, max_features=max_features)

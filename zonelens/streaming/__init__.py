@@ -1,0 +1,9 @@
+"""Streaming.
+
+The original analyses are batch only: no stream source, watermark, time window or
+stateful operator exists there, so none is built here.  The row-wise operators
+(``operators.clean``: validity filter, unit correction, casts, time parsing, and the
+calendar / ratio expressions of ``functions``) are stateless column expressions and
+apply unchanged to a streaming DataFrame from ``spark.readStream``; the aggregating
+and windowed operators are batch operators over complete tables.
+"""
