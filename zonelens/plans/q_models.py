@@ -152,3 +152,23 @@ def corpus_report(spark, sf):
                 .join(text_lof(spark, sf), "doc_id")
                 .join(topics_result(spark, sf)[0], "doc_id"))
     return tx.join_metadata(enriched, meta)
+
+
+def forecast_leak_free(spark, sf):
+    def fit():
+        spec = ts.SeriesSpec(leak_free=True)
+        frame = ts.model_frame(q_series.stations(spark, sf), spec)
+        names = ts.feature_names(frame, spec)
+        return forecast.fit_forecast(frame, names, label="PM25", num_trees=100, max_depth=10, seed=42,
+                                     fit_features_on_train=True)
+    return _memo(("forecast_lf", id(spark), sf), fit)
+
+
+@register("forecast_fit_leak_free")
+def forecast_fit_leak_free(spark, sf):
+    """H15 + H17, leak-free form: rolling frames end one row before the target, differences
+    are taken between lags, the ratio uses the previous row, the category index is fitted
+    on train rows.  Reported next to ``forecast_fit`` (the original form, whose features
+    contain the current target)."""
+    res = forecast_leak_free(spark, sf)
+    return forecast.regression_metrics(res.predictions(), "PM25", "prediction")
