@@ -13,6 +13,11 @@ from zonelens.plans.registry import register, table
 _MEMO: dict = {}
 
 
+def _app(spark) -> str:
+    """Fitted results are reused within one application only (a new session must refit)."""
+    return spark.sparkContext.applicationId
+
+
 def _memo(key, fn):
     if key not in _MEMO:
         _MEMO[key] = fn()
@@ -21,7 +26,7 @@ def _memo(key, fn):
 
 def zones_result(spark, sf):
     scaled = list(EVENT_SCALE)[0]
-    return _memo(("zones", id(spark), sf), lambda: zn.zones(
+    return _memo(("zones", _app(spark), sf), lambda: zn.zones(
         q_readings.winsorized(spark, sf), q_readings.AVG, key="district", ks=(3, 4, 5), seed=42,
         names=list(EVENT_MEASURES), extra_mean=f"{scaled}_avg"))
 
@@ -49,7 +54,7 @@ def forecast_result(spark, sf):
         frame = q_series.frame(spark, sf)
         names = ts.feature_names(frame, q_series.SPEC)
         return forecast.fit_forecast(frame, names, label="PM25", num_trees=100, max_depth=10, seed=42)
-    return _memo(("forecast", id(spark), sf), fit)
+    return _memo(("forecast", _app(spark), sf), fit)
 
 
 @register("forecast_fit")
@@ -81,7 +86,7 @@ def literature(spark, sf):
         res.postings = zn.checkpointed(res.postings)
         vectors = tx.tfidf_vectors(p, vocab)
         return p, res, vocab, vectors
-    return _memo(("literature", id(spark), sf), build)
+    return _memo(("literature", _app(spark), sf), build)
 
 
 def topics_result(spark, sf):
@@ -89,7 +94,7 @@ def topics_result(spark, sf):
         _, _, vocab, vectors = literature(spark, sf)
         clusters, model = zn.topics(vectors, k=5, seed=42)
         return clusters, model, vocab
-    return _memo(("topics", id(spark), sf), fit)
+    return _memo(("topics", _app(spark), sf), fit)
 
 
 @register("topic_clusters")
@@ -110,7 +115,7 @@ def embed_result(spark, sf):
         p, res, vocab, _ = literature(spark, sf)
         n_features = vocab.count()
         return embed.randomized_pca(res.postings, p.select("doc_id"), n_features, k=50, seed=42)
-    return _memo(("embed", id(spark), sf), fit)
+    return _memo(("embed", _app(spark), sf), fit)
 
 
 @register("doc_embed")
@@ -140,7 +145,7 @@ def text_lof(spark, sf):
         k = min(20, n - 1)
         scores = nb.lof(nb.knn(dense, "doc_id", "v", k, n=n), k).withColumnRenamed("id", "doc_id")
         return nb.flag_outliers(scores, 0.1)
-    return _memo(("text_lof", id(spark), sf), fit)
+    return _memo(("text_lof", _app(spark), sf), fit)
 
 
 @register("corpus_report")
@@ -161,7 +166,7 @@ def forecast_leak_free(spark, sf):
         names = ts.feature_names(frame, spec)
         return forecast.fit_forecast(frame, names, label="PM25", num_trees=100, max_depth=10, seed=42,
                                      fit_features_on_train=True)
-    return _memo(("forecast_lf", id(spark), sf), fit)
+    return _memo(("forecast_lf", _app(spark), sf), fit)
 
 
 @register("forecast_fit_leak_free")
