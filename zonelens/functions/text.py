@@ -6,10 +6,6 @@ classes are spelled out explicitly; the same spelling also runs unchanged in RE2
 SQL oracle), which is why no look-around is used."""
 from __future__ import annotations
 
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,21 +45,25 @@ DOMAIN_STOPWORDS = (
 )
 
 
-@lru_cache(maxsize=None)
-def english_stopwords() -> tuple[str, ...]:
-    """Spark ML's default English stopword list (read from the Spark ML jar, so it is
-    exactly the list ``StopWordsRemover.loadDefaultStopWords('english')`` returns)."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    jar = next(j for j in sorted(os.listdir(jars)) if j.startswith("spark-mllib_"))
-    with zipfile.ZipFile(os.path.join(jars, jar)) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-    return tuple(words)
+# Spark ML's default English stopwords, in their own order (a test compares
+# them with ``StopWordsRemover.loadDefaultStopWords("english")``)
+ENGLISH_STOPWORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s
+t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())
 
 
 def stopwords() -> tuple[str, ...]:
-    return tuple(sorted(set(english_stopwords()) | set(DOMAIN_STOPWORDS)))
+    return tuple(sorted(set(ENGLISH_STOPWORDS) | set(DOMAIN_STOPWORDS)))
 
 
 def clean_text(col: Column) -> Column:

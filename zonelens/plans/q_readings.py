@@ -1,8 +1,6 @@
 """Registered queries over ``events`` read as readings (profiles, percentiles, samples)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from zonelens.operators import clean, profile, sample, stats
 from zonelens.plans.config import EVENT_MEASURES as M
 from zonelens.plans.config import EVENT_SCALE, VALID_HIGH, VALID_LOW
@@ -162,12 +160,3 @@ def hash_sample(spark, sf):
 def hash_limit(spark, sf):
     """3000 rows chosen by the smallest key hashes (deterministic limit)."""
     return sample.hash_limit(table(spark, sf, "events"), ["event_id"], 3000)
-
-
-def _check_threshold():
-    from zonelens.functions.hashing import threshold_hex
-    assert threshold_hex(0.02) == "051eb852", threshold_hex(0.02)
-
-
-_check_threshold()
-del F

@@ -6,6 +6,7 @@ columns are rounded to 6 decimals at the very end, on both sides, so the compari
 does not depend on summation order."""
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,8 +61,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     """Import the query modules (each registers its keys)."""
     for mod in ("q_readings", "q_series", "q_stats", "q_text", "q_neighbours", "q_models", "q_io"):
-        try:
-            __import__(f"zonelens.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"zonelens.plans.{mod}":
-                raise
+        importlib.import_module(f"zonelens.plans.{mod}")
