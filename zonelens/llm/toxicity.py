@@ -27,19 +27,20 @@ from .linear import Linear, bucket, fit
 
 FOLDS = 5
 SAMPLE = 3000      # labelled texts a class that the fit may read
-MINED = 160        # most patterns taken from the sample
-SIZE = 1 << 16     # places of the hashed features
-PREFIXES = (4, 5, 6)
+MINED = 256        # most patterns taken from the sample
+SIZE = 1 << 17     # places of the hashed features
+TRUST = 0.95       # accuracy that a given label is taken to have
+PREFIXES = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 
 # Hand-written voters: one lexicon a group, matched on whole words
 LEXICONS = {
     "stupidity": "idiot idiots idiotic stupid moron morons moronic imbecile dumb dumbass fool retard cretin dimwit halfwit",
     "worth": "worthless useless pathetic loser losers failure nobody garbage trash rubbish",
-    "disgust": "disgusting filthy scum vermin pig pigs dirtbag scumbag vile repulsive gross",
-    "ridicule": "clown clowns joke freak weirdo crybaby snowflake laughingstock",
+    "disgust": "disgusting filthy scum vermin pig pigs dirtbag scumbag vile repulsive",
+    "ridicule": "clown clowns freak weirdo crybaby snowflake laughingstock",
     "abuse": "bastard bitch asshole jerk dickhead prick whore slut cunt fuck fucking shit shitty",
-    "threat": "kill die hang strangle exterminate",
+    "threat": "murder strangle exterminate",
     "french": "connard connasse salope imbécile crétin débile ordure pourriture merde",
     "german": "idioten arschloch dummkopf trottel abschaum missgeburt schwachkopf versager drecksau",
     "spanish": "imbécil gilipollas estúpido estúpida basura escoria idiota cabrón puta mierda",
@@ -63,6 +64,18 @@ def beginnings(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n)]
 
 
+def text_features(text: str | None) -> set[str]:
+    """The pattern features of a text's words; a beginning of two or more different words is the
+    feature "2^" as well."""
+    once, twice = set(), set()
+    for w in set(WORD.findall((text or "").lower())):
+        for g in beginnings(w):
+            if g in once:
+                twice.add(f"2{g}")
+            once.add(g)
+    return once | twice
+
+
 @dataclass
 class Voters:
     """The voters in their order: lexicons, patterns, mined features."""
@@ -84,18 +97,22 @@ class Voters:
     def read(self, text: str | None, cache: dict) -> tuple[list[int], list[int]]:
         """(voters that vote, places of the hashed features) of one whole text, each once."""
         low = (text or "").lower()
-        votes, places, n = {k for k, p in self.patterns if p.search(low)}, set(), len(self)
+        votes, seen, once, twice, n = {k for k, p in self.patterns if p.search(low)}, set(), set(), set(), len(self)
         for w in set(WORD.findall(low)):
             known = cache.get(w)
             if known is None:
                 grams = beginnings(w)
-                known = ([k for g in grams for k in self.of_feature.get(g, ())], [n + bucket(g, SIZE) for g in grams])
+                known = ([k for g in grams for k in self.of_feature.get(g, ())], [k for g in grams for k in self.of_feature.get(f"2{g}", ())],
+                         [bucket(g, SIZE // 2) for g in grams])
                 if len(cache) > 100_000:
                     cache.clear()
                 cache[w] = known
             votes.update(known[0])
-            places.update(known[1])
-        return sorted(votes), sorted(places)
+            votes.update(seen.intersection(known[1]))
+            seen.update(known[1])
+            twice.update(once.intersection(known[2]))
+            once.update(known[2])
+        return sorted(votes), sorted([n + k for k in once] + [n + SIZE // 2 + k for k in twice])
 
 
 def vector(votes: list[int], places: list[int]) -> tuple[list[int], np.ndarray]:
@@ -105,36 +122,39 @@ def vector(votes: list[int], places: list[int]) -> tuple[list[int], np.ndarray]:
 
 @dataclass
 class LabelModel:
-    """Rates at which each voter votes in toxic and clean texts, its share of a vote, the prior."""
+    """Rates at which each voter votes in toxic and clean texts, its share of a vote, the rates of
+    texts without any vote, the prior.  A voter that doesn't vote abstains: its silence says
+    nothing (most texts are in languages it doesn't know), only that of all voters does."""
 
     toxic: np.ndarray
     clean: np.ndarray
     share: np.ndarray
+    silent: tuple[float, float]
     prior: float
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """P(toxic) for each row of the 0/1 vote matrix."""
-        on, off = np.log(self.toxic / self.clean), np.log((1 - self.toxic) / (1 - self.clean))
-        z = np.log(self.prior / (1 - self.prior)) + votes @ (self.share * on) + (1 - votes) @ (self.share * off)
+    def posterior(self, votes: np.ndarray, given: np.ndarray) -> np.ndarray:
+        """P(toxic) for each row of the 0/1 vote matrix and its given label (one more voter)."""
+        said = votes @ (self.share * np.log(self.toxic / self.clean))
+        z = np.log(self.prior / (1 - self.prior)) + np.where(votes.any(1), said, np.log(self.silent[0] / self.silent[1]))
+        z += np.where(given > 0, 1, -1) * np.log(TRUST / (1 - TRUST))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, weight: np.ndarray, rounds: int = 25) -> LabelModel:
-        """EM from the starting probabilities ``start``; ``weight`` is how many texts a row stands for."""
-        p, n = start.astype(float), votes.shape[1]
-        share = np.ones(n)
+    def fit(cls, votes: np.ndarray, given: np.ndarray, weight: np.ndarray, rounds: int = 25) -> LabelModel:
+        """EM from the given labels; ``weight`` is how many texts a row stands for."""
+        p, n = np.where(given > 0, TRUST, 1 - TRUST), votes.shape[1]
+        share, mute = np.ones(n), ~votes.any(1)
         for r in range(rounds):
             a, b = weight * p, weight * (1 - p)
-            toxic = np.clip((a @ votes + 0.1) / (a.sum() + 1), 1e-4, 1 - 1e-4)
-            clean = np.clip((b @ votes + 0.1) / (b.sum() + 1), 1e-4, 1 - 1e-4)
-            model = cls(toxic, clean, share, float(np.clip(a.sum() / (a.sum() + b.sum()), 1e-4, 1 - 1e-4)))
+            rate = lambda w, x: np.clip((w @ x + 0.1) / (w.sum() + 1), 1e-4, 1 - 1e-4)
+            toxic, clean = rate(a, votes), rate(b, votes)
             if r < 3:  # correlations within a class, from the first estimates
                 rest = votes - p[:, None] * toxic - (1 - p[:, None]) * clean
                 cov = (rest * weight[:, None]).T @ rest
                 sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
                 share = 1 / np.maximum(1, (np.abs(cov / sd[:, None] / sd) > 0.5).sum(1))
-                model.share = share
-            p = model.posterior(votes)
+            model = cls(toxic, clean, share, (float(rate(a, mute)), float(rate(b, mute))), float(rate(weight, p)))
+            p = model.posterior(votes, given)
         return model
 
 
@@ -169,23 +189,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # one text an id; of rows with equal ids the one of smallest key
     texts = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     sample = texts.join(chosen, "id").groupBy("id").agg(F.min(F.struct("key", "text", "y", "weight")).alias("r"))
-    sample = checkpointed(sample.select("r.text", "r.y", "r.weight"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sample = checkpointed(sample.select("r.text", "r.y", "r.weight").repartition(parts))
 
     def grams(batches):
+        counts: dict[str, list[int]] = {}  # of this task's part of the sample
         for b in batches:
-            found, ys = [], []
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                mine = {g for w in set(WORD.findall((text or "").lower())) for g in beginnings(w)}
-                found += mine
-                ys += [y] * len(mine)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(ys, pa.int32())], names=["g", "y"])
+                for g in text_features(text):
+                    counts.setdefault(g, [0, 0])[y] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([c[y] for c in counts.values()], pa.int64()) for y in (1, 0))],
+                                         names=["g", "a", "b"])
 
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return _default()
-    df = sample.select("text", "y").mapInArrow(grams, "g string, y int").groupBy("g").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    df = sample.select("text", "y").mapInArrow(grams, "g string, a long, b long").groupBy("g").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     odds = F.log((F.col("a") + 0.25) / n[1]) - F.log((F.col("b") + 0.25) / n[0])
-    best = df.filter(F.col("a") >= max(3, n[1] // 200)).withColumn("odds", odds).filter("odds > 3")
+    best = df.filter(F.col("a") >= max(3, n[1] // 200)).withColumn("odds", odds).filter("odds > 2.5")
     mined = [r["g"] for r in best.orderBy((F.col("a") * F.col("odds")).desc(), "g").limit(MINED).collect()]
     voters = Voters(mined)
 
@@ -201,24 +222,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     matrix = np.zeros((len(rows), len(voters)))
     for k, r in enumerate(rows):
         matrix[k, r["votes"]] = 1
-    start = np.array([0.95 if r["y"] else 0.05 for r in rows])
-    label_model = LabelModel.fit(matrix, start, np.array([r["weight"] for r in rows]))
+    label_model = LabelModel.fit(matrix, np.array([r["y"] for r in rows]), np.array([r["weight"] for r in rows]))
 
     def posterior(batches):
         cache: dict = {}
         for b in batches:
             places, values, p = [], [], []
-            for t in b.column(0).to_pylist():
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 v, f = voters.read(t, cache)
                 at, x = vector(v, f)
                 one = np.zeros((1, len(voters)))
                 one[0, v] = 1
-                places.append(at), values.append(x), p.append(float(label_model.posterior(one)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64())), pa.array(p, pa.float64()), b.column(1)],
+                places.append(at), values.append(x), p.append(float(label_model.posterior(one, np.array([y]))[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64())), pa.array(p, pa.float64()), b.column(2)],
                                              names=["places", "values", "p", "weight"])
 
-    train_rows = sample.select("text", "weight").mapInArrow(posterior, "places array<int>, values array<double>, p double, weight double")
-    model = fit(train_rows, len(voters) + SIZE, reg=1e-4)
+    train_rows = sample.select("text", "y", "weight").mapInArrow(posterior, "places array<int>, values array<double>, p double, weight double")
+    model = fit(train_rows, len(voters) + SIZE, reg=1e-5, iterations=100)
     return Model(voters, model) if model else _default()
 
 
