@@ -1,0 +1,100 @@
+"""Targets, Pareto ranks and cuts against a plain computation."""
+import hashlib
+import math
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from zonelens.llm import mixing
+from zonelens.llm.common import read
+
+from .conftest import SF
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_targets(sizes, weights=(5, 2, 1), cap=3):
+    """By the stated rule: share by weight, stop at the cap, reshare the excess until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    w = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    fixed = {}
+    while True:
+        rest = sum(sizes.values()) - sum(fixed.values())
+        free = [s for s in names if s not in fixed]
+        share = {s: rest * w[s] / sum(w[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > cap * sizes[s]]
+        if not over:
+            return {**fixed, **share}
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+def check(rows, docs):
+    got = mixing.mix(docs)[0].collect()
+    assert sorted((str(r.id), str(r.source), r["size"]) for r in got) == sorted((str(i), str(s), len(WORD.findall(t or ""))) for i, s, t in rows)
+    sizes, taken, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in got:
+        sizes[r.source] += r["size"]
+        taken[r.source] += r["size"] * r.copies
+        largest[r.source] = max(largest[r.source], r["size"])
+        assert 0 <= r.copies <= 3
+    want = brute_targets(sizes)
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source], rel=1e-9, abs=1e-6)
+    for s in sizes:
+        assert taken[s] <= want[s] + 1e-6 and want[s] - taken[s] <= max(1, largest[s])
+    return got
+
+
+def test_documents(spark):
+    docs = read(spark, SF, "documents")
+    rows = [(r.doc_id, r.source, r.text) for r in docs.collect()]
+    one = check(rows, docs)
+    two = mixing.mix(docs.repartition(5))[0].collect()
+    assert sorted((r.id, r.copies) for r in one) == sorted((r.id, r.copies) for r in two)
+
+
+def test_sample_is_the_lowest_ranks(spark):
+    docs = read(spark, SF, "documents")
+    rows = mixing.mix(docs)[0].collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source].append(r)
+    for mine in by.values():
+        rate = mine[0].target / mine[0].source_size
+        whole, p = math.floor(rate + 1e-12), rate - math.floor(rate + 1e-12)
+        room = math.floor(mine[0].target - whole * mine[0].source_size + 1e-6)
+        rank = lambda i: (lambda u: u / (1 - u) * (1 - p) / p)((int(hashlib.md5(f"mix|{i}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48)
+        used, full, left = 0, False, []
+        for r in sorted((r for r in mine if r["size"]), key=lambda r: rank(r.id)):
+            full = full or used + r["size"] > room
+            if full:
+                left.append(r)
+            else:
+                used += r["size"]
+                assert r.copies == whole + 1
+        fits = max((r["size"] for r in left if r["size"] <= room - used), default=0)
+        assert sum(r["size"] * (r.copies - whole) for r in left) == fits
+
+
+def test_edge_cases(docs_of):
+    rows = [(1, None, "a"), (2, "", "a"), (3, "x y", "b"), (None, "x y z", None), (4, "one", None), (4, "one", None), (5, "w " * 100_000, "c")]
+    docs = docs_of([(i, t, s) for i, t, s in rows])
+    check([(i, s, t) for i, t, s in rows], docs)
+    assert mixing.mix(docs.limit(0))[0].count() == 0
+    assert [r.target for r in mixing.mix(docs.filter("doc_id < 3"))[0].collect()] == [0.0, 0.0]
+    _, cuts = mixing.mix(docs)
+    laid = mixing.apply_cuts(docs, cuts)
+    assert laid.columns == ["doc_id", "text", "lang", "source", "n_chars", "m", "copies", "size", "source_size", "target"]
+    want = sorted((str(r.id), r.copies) for r in mixing.mix(docs)[0].collect())
+    assert sorted((str(r.doc_id), r.copies) for r in laid.collect()) == want
+
+
+def test_joins_without_broadcast_agree(spark, monkeypatch):
+    docs = read(spark, SF, "documents")
+    want = sorted((r.id, r.copies) for r in mixing.mix(docs)[0].collect())
+    monkeypatch.setattr(mixing, "small", lambda df: df)
+    assert sorted((r.id, r.copies) for r in mixing.mix(docs)[0].collect()) == want
+    assert mixing.mix(docs)[0].agg(F.sum("copies")).first()[0] > 0

@@ -1,4 +1,90 @@
 """DuckDB SQL of the operators that SQL can express, over the driver's tables."""
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+WORD = r"[^\x20\x09-\x0D]+"
+
+MIXING = f"""
+WITH base AS (
+  SELECT doc_id AS id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS s FROM base GROUP BY source),
+weighed AS (
+  SELECT source, s, 3 * s AS cap, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM src),
+running AS (
+  SELECT *, sum(s) OVER () AS total,
+    sum(s) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest_before,
+    sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weight_after
+  FROM weighed WINDOW o AS (ORDER BY cap::DOUBLE / w::DOUBLE, source NULLS LAST)),
+capped AS (SELECT *, cap::DOUBLE * weight_after::DOUBLE <= w::DOUBLE * rest_before::DOUBLE AS is_capped FROM running),
+targets AS (
+  SELECT source, s, CASE WHEN is_capped THEN cap::DOUBLE ELSE w::DOUBLE
+      * (total - coalesce(sum(cap) FILTER (WHERE is_capped) OVER (), 0))::DOUBLE / (sum(w) FILTER (WHERE NOT is_capped) OVER ())::DOUBLE END AS target
+  FROM capped),
+rates AS (
+  SELECT *, floor(rate + 1e-12::DOUBLE) AS whole, greatest(rate - floor(rate + 1e-12::DOUBLE), 0::DOUBLE) AS p
+  FROM (SELECT *, CASE WHEN s > 0 THEN target / s ELSE 0::DOUBLE END AS rate FROM targets)),
+ranked AS (
+  SELECT base.*, s, target, whole, p, floor(target - whole * s + 1e-6::DOUBLE) AS room,
+    u / (1::DOUBLE - u) * ((1::DOUBLE - p) / CASE WHEN p > 0 THEN p END) AS q
+  FROM (SELECT *, (('0x' || substr(md5('mix|' || coalesce(id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM base) base
+  JOIN rates ON base.source IS NOT DISTINCT FROM rates.source),
+run AS (
+  SELECT *, p > 0 AND size > 0 AS can,
+    sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q, id NULLS FIRST, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM ranked),
+drawn AS (SELECT *, can AND upto <= room AS sampled FROM run),
+spare AS (SELECT *, room - coalesce(max(upto) FILTER (WHERE sampled) OVER (PARTITION BY source), 0) AS free FROM drawn),
+closing AS (
+  SELECT source, id, size FROM spare WHERE can AND NOT sampled AND size <= free
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY size DESC, q, id DESC NULLS LAST) = 1),
+copies AS (
+  SELECT x.*, whole::BIGINT + (sampled OR (can AND c.size IS NOT NULL))::BIGINT AS copies
+  FROM spare x LEFT JOIN closing c ON x.source IS NOT DISTINCT FROM c.source AND x.id IS NOT DISTINCT FROM c.id AND x.size = c.size)
+SELECT id AS doc_id, size, s AS source_size, target, copies * size AS taken FROM copies
+"""
+
+QUALITY = rf"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+    regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS joined FROM t),
+windows AS (SELECT r, unnest(range(1, len(ws) - 6)) AS i, ws FROM w WHERE len(ws) > 8),
+again AS (
+  SELECT r, i FROM (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS win FROM windows) QUALIFY count(*) OVER (PARTITION BY r, win) > 1),
+covered AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS k FROM again) GROUP BY r),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(joined)::BIGINT AS word_chars,
+    (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    length(joined) - length(regexp_replace(joined, '\p{{L}}+', '', 'g')) AS n_letters,
+    length(joined) - length(regexp_replace(joined, '\p{{Lu}}+', '', 'g')) AS n_upper,
+    len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_ellipsis,
+    len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[-*•●]'))) AS n_bullets
+  FROM w LEFT JOIN covered USING (r)),
+f AS (
+  SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > 3 * n_words THEN 16 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 32 ELSE 0 END
+    + CASE WHEN 100 * n_letters < 60 * word_chars THEN 64 ELSE 0 END + CASE WHEN 100 * n_upper > 60 * word_chars THEN 128 ELSE 0 END
+    + CASE WHEN 100 * n_ellipsis > 50 * n_lines THEN 256 ELSE 0 END + CASE WHEN 100 * n_bullets > 95 * n_lines THEN 512 ELSE 0 END)::BIGINT AS fails FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fails & 3) <> 0 AS base_failed, (fails & 255) = 0 AS kept, fails FROM f
+"""
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT doc_id, text, coalesce(source, chr(0)) AS site, row_number() OVER () AS r FROM documents),
+carrier AS (SELECT text, min(site) AS site FROM d GROUP BY text),
+l AS (
+  SELECT r, k, x, trim(regexp_replace(x, '[\\x09-\\x0D]', ' ', 'g'), ' ') AS line, len(regexp_extract_all(x, '{WORD}')) >= 4 AS judged
+  FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM d)),
+bad AS (
+  SELECT line FROM l JOIN d USING (r) JOIN carrier c ON c.text IS NOT DISTINCT FROM d.text WHERE judged
+  GROUP BY line HAVING count(DISTINCT c.site) >= 10),
+marked AS (SELECT l.*, judged AND bad.line IS NOT NULL AS gone FROM l LEFT JOIN bad ON l.line = bad.line),
+per AS (
+  SELECT r, count(*)::BIGINT AS n, count(*) FILTER (WHERE gone)::BIGINT AS n_gone,
+    coalesce(string_agg(x, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS kept FROM marked GROUP BY r)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n END AS n_lines, n_gone AS n_removed, CASE WHEN n_gone = 0 THEN text ELSE kept END AS text
+FROM d JOIN per USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op5_quality": QUALITY, "op7_line_dedup": LINE_DEDUP}
