@@ -27,7 +27,7 @@ RULES = {
     "long_words": (lambda m: m("word_chars") > 20 * m("n_words"), "mean word over 20 characters"),
     "symbols": (lambda m: 10 * m("n_symbols") > 3 * m("n_words"), "over 3 symbols in 10 words"),
     "duplicate_lines": (lambda m: 100 * m("n_dup_lines") > 50 * m("n_lines"), "over half the lines repeat an earlier one"),
-    "few_letters": (lambda m: 100 * m("n_letter_words") < 60 * m("n_words"), "under 60 % of the words hold a letter"),
+    "few_letters": (lambda m: 100 * m("n_letters") < 60 * m("word_chars"), "under 60 % of the characters in words are letters"),
     "shouting": (lambda m: 100 * m("n_upper_chars") > 60 * m("word_chars"), "over 60 % of the characters are capitals"),
     "ellipsis_lines": (lambda m: 100 * m("n_ellipsis_lines") > 50 * m("n_lines"), "over half the lines end in an ellipsis"),
     "bullet_lines": (lambda m: 100 * m("n_bullet_lines") > 95 * m("n_lines"), "over 95 % of the lines are bullets"),
@@ -52,7 +52,8 @@ def n_repeat_words(ws: Column) -> Column:
     ``ws`` must be a column, not an expression: it is referred to many times."""
     n = F.size(ws)
     starts = F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1)))
-    windows = F.transform(starts, lambda i: F.struct(F.xxhash64(F.slice(ws, i, F.lit(WINDOW))).alias("h"), i.alias("i")))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(ws, i, F.lit(WINDOW))))
+    windows = lambda hs: F.transform(hs, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i")))
     # neighbours in the sorted order: a window repeats if the one before or after it is equal
     repeated = lambda s: F.transform(F.filter(F.arrays_zip(
         s.alias("x"), F.concat(F.array(F.lit(None).cast("bigint")), F.transform(s, lambda x: x["h"])).alias("before"),
@@ -62,8 +63,11 @@ def n_repeat_words(ws: Column) -> Column:
     covered = lambda p: F.when(F.size(p) == 0, F.lit(0).cast("long")).otherwise(F.aggregate(F.zip_with(p, F.concat(F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), F.array(F.lit(1 << 30))),
                                                lambda a, b: F.least(b - a, F.lit(WINDOW)).cast("long")), F.lit(0).cast("long"), lambda acc, x: acc + x))
     let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)  # noqa: E731  evaluated once, used often
-    found = let(F.sort_array(windows), lambda s: let(F.sort_array(repeated(s)), covered))
-    return F.when(n < WINDOW + 1, F.lit(0).cast("long")).otherwise(found)
+    none = F.lit(0).cast("long")
+    # most texts repeat no window: only the others are sorted
+    found = let(hashes, lambda hs: F.when(F.size(F.array_distinct(hs)) == F.size(hs), none).otherwise(
+        let(F.sort_array(windows(hs)), lambda s: let(F.sort_array(repeated(s)), covered))))
+    return F.when(n < WINDOW + 1, none).otherwise(found)
 
 
 def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -81,8 +85,8 @@ def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_lines": count(F.size(lines)),
         "n_dup_lines": count(F.size(lines) - F.size(F.array_distinct(lines))),
         "n_repeat_words": n_repeat_words(ws),
-        "n_letter_words": count(F.size(F.filter(ws, lambda x: x.rlike(r"\p{L}")))),
-        "n_upper_chars": count(F.regexp_count(joined, F.lit(r"\p{Lu}"))),
+        "n_letters": count(F.length(joined) - F.length(F.regexp_replace(joined, r"\p{L}+", ""))),
+        "n_upper_chars": count(F.length(joined) - F.length(F.regexp_replace(joined, r"\p{Lu}+", ""))),
         "n_ellipsis_lines": count(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)\s*$")))),
         "n_bullet_lines": count(F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•●]")))),
     }
