@@ -29,7 +29,7 @@ def brute_base(text):
 
 def brute_labels(text, table):
     t = f" {' '.join(words(text))} "
-    found = [(m.start(), m.end(), r.priority, k, r.label) for k, r in enumerate(table) if r.keyword in t
+    found = [(m.start(), m.end(), r.priority, k, r.label) for k, r in enumerate(table)
              for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", t)]
     first = lambda x: (x[0], -x[1], -x[2], x[3])
     stays = [x for x in found if not any(y is not x and y[0] <= x[0] and y[1] >= x[1] and y[2] >= x[2] and first(y) < first(x) for y in found)]
@@ -63,7 +63,8 @@ def test_priority_and_containment(spark):
     table = [licenses.Rule("low", "alpha", "alpha beta gamma", 1, 0.5), licenses.Rule("high", "beta", "beta", 2, 0.5), licenses.Rule("inner", "gamma", "gamma", 1, 0.5),
              licenses.Rule("wide", "gamma", "beta gamma delta", 3, 0.5)]
     texts = spark.createDataFrame([(1, " alpha beta gamma "), (2, " alpha beta gamma delta "), (3, " gamma beta ")], "key long, t string")
-    got = sorted((r.key, r.label) for r in licenses.detections(texts, table).collect())
+    found = texts.select("key", licenses.hits(F.col("t"), table).alias("found"))
+    got = sorted((r.key, r.label) for r in licenses.detections(found, table).collect())
     assert got == [(1, "high"), (1, "low"), (2, "low"), (2, "wide"), (3, "high"), (3, "inner")]
 
 

@@ -3,7 +3,7 @@
 A text is normalised to its words (A-Z lower-cased, everything but letters, digits and
 non-ASCII characters dropped) joined by single blanks.  A rule is a regular expression over
 that form with a keyword, a label, a priority and a confidence.  A rule runs only where its
-keyword occurs; overlapping detections are resolved by priority and containment: one that
+keyword and its anchor occur; overlapping detections are resolved by priority and containment: one that
 lies inside another of at least its priority is suppressed (of equal spans and priorities the
 earlier rule stays).
 
@@ -13,11 +13,12 @@ expressions, no Python.  Detections of one text are ordered within that text onl
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, row_key
+from .common import lower_ascii, row_key, stored
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -32,6 +33,7 @@ class Rule:
     pattern: str  # over the normalised text, whole words
     priority: int
     confidence: float
+    anchor: str = " "  # occurs in the normalised text as well, wherever the rule can match
 
 
 # Families: label, keyword, names as they stand in the normalised text (regular expressions).
@@ -128,9 +130,9 @@ def rules() -> list[Rule]:
     out = [Rule(a, k, p, pr, c) for a, k, p, pr, c in NOTICES]
     lic = "licen[cs]e"
     for label, key, name in FAMILIES:
-        out += [Rule(label, key, f"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: {lic})?", 3, 0.95),
-                Rule(label, key, f"(?:spdx )?{lic} identifier (?:{name})", 3, 1.0),
-                Rule(label, key, f"(?:{name}) {lic}", 2, 0.8)]
+        out += [Rule(label, key, f"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?: {lic})?", 3, 0.95, " under "),
+                Rule(label, key, f"(?:spdx )?{lic} identifier (?:{name})", 3, 1.0, " identifier "),
+                Rule(label, key, f"(?:{name}) {lic}", 2, 0.8, " licen")]
     for label, key, name, versions in VERSIONED:
         out.append(Rule(label, key, f"(?:{name}) {lic}" if name != "gnu gpl|gpl" else name, 2, 0.7))
         for v in versions:
@@ -157,7 +159,7 @@ def normalised(text: Column) -> Column:
 
 
 def _blanks(c: Column) -> Column:
-    return F.length(c) - F.length(F.translate(c, " ", ""))
+    return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
 
 def _places(phrase: str) -> str:
@@ -180,26 +182,30 @@ def base_digest(t: Column) -> dict[str, Column]:
     }
 
 
-def detections(texts: DataFrame, table: list[Rule] | None = None) -> DataFrame:
+def hits(t: Column, table: list[Rule]) -> Column:
+    """Array of (rule, hit, gap) of the rules that match a normalised text: the lengths of the matches
+    and of the pieces between them."""
+    lit = F.array(*[F.struct(F.lit(k).cast("int").alias("rule"), F.lit(f" {r.keyword}").alias("keyword"), F.lit(r.anchor).alias("anchor"),
+                             F.lit(_places(r.pattern)).alias("re")) for k, r in enumerate(table)])
+    lengths = lambda a: F.transform(a, lambda x: F.length(x))
+    gated = F.filter(lit, lambda r: F.contains(t, r["keyword"]) & F.contains(t, r["anchor"]))
+    runs = F.transform(gated, lambda r: F.struct(r["rule"].alias("rule"), lengths(F.regexp_extract_all(t, r["re"], F.lit(0))).alias("hit"), r["re"].alias("re")))
+    found = F.transform(F.filter(runs, lambda r: F.size(r["hit"]) > 0),
+                        lambda r: F.struct(r["rule"].alias("rule"), r["hit"].alias("hit"), lengths(F.split(t, r["re"])).alias("gap")))
+    # most texts hold no anchor or keyword at all: they are told by a few searches, without the table
+    some = sorted({r.anchor if r.anchor != " " else f" {r.keyword}" for r in table})
+    gate = reduce(lambda a, b: a | b, [F.contains(t, F.lit(x)) for x in some])
+    return F.when(gate, found).otherwise(F.array().cast("array<struct<rule:int,hit:array<int>,gap:array<int>>>"))
+
+
+def detections(found: DataFrame, table: list[Rule] | None = None) -> DataFrame:
     """(key, rule, label, priority, confidence, start, stop) of every detection that stays, from
-    (key, t) rows of normalised text; start and stop are character offsets."""
+    (key, found) rows as :func:`hits` gives them; start and stop are character offsets."""
     table = rules() if table is None else table
-    keywords = sorted({r.keyword for r in table})
-    lit = F.array(*[F.struct(F.lit(k).cast("int").alias("rule"), F.lit(r.keyword).alias("keyword"), F.lit(_places(r.pattern)).alias("re"))
-                    for k, r in enumerate(table)])
     about = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for r in table])
-    gate = F.col("t").rlike("|".join(keywords))
-    none = F.array().cast("array<int>")
-    t = F.col("t")
-    lengths = lambda a: F.transform(a, lambda x: F.length(x))
-    runs = F.transform(lit, lambda r: F.struct(
-        r["rule"].alias("rule"),
-        F.when(F.contains(t, r["keyword"]), lengths(F.regexp_extract_all(t, r["re"], F.lit(0)))).otherwise(none).alias("hit"),
-        r["re"].alias("re")))
-    found = F.filter(runs, lambda r: F.size(r["hit"]) > 0)
-    rows = texts.filter(gate).select("key", "t", F.explode(found).alias("r"))
+    rows = found.select("key", F.explode("found").alias("r"))
     # the pieces between the hits give the places of the hits
-    rows = rows.select("key", "r.rule", F.posexplode(F.arrays_zip(lengths(F.split(F.col("t"), F.col("r.re"))).alias("gap"), F.col("r.hit").alias("hit"))).alias("i", "x"))
+    rows = rows.select("key", "r.rule", F.posexplode(F.arrays_zip(F.col("r.gap").alias("gap"), F.col("r.hit").alias("hit"))).alias("i", "x"))
     rows = rows.select("key", "rule", "i", "x.gap", "x.hit")
     upto = F.sum(F.col("gap") + F.coalesce("hit", F.lit(0))).over(Window.partitionBy("key", "rule").orderBy("i"))
     rows = rows.withColumn("stop", upto).filter("hit is not null").withColumn("start", F.col("stop") - F.col("hit"))
@@ -224,9 +230,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     key = row_key(id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), normalised(F.col(text_col)).alias("t"))
     digest = base_digest(F.col("t"))
-    narrow = rows.select("id", "key", *[c.alias(k) for k, c in digest.items()])
+    # the texts are read once; what is kept of them is narrow
+    read = stored(rows.select("id", "key", *[c.alias(k) for k, c in digest.items()], hits(F.col("t"), rules()).alias("found")), "licenses")
+    narrow = read.drop("found")
     # rows of equal id and text have one key: their detections come twice, which sets bear
-    per = detections(rows.select("key", "t")).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("confidence").alias("confidence"))
+    per = detections(read.filter(F.size("found") > 0)).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("confidence").alias("confidence"))
     both = narrow.join(per, "key", "left")
     base, more = F.col("base"), F.coalesce("more", F.array().cast("array<string>"))
     return both.select(
