@@ -35,7 +35,9 @@ def fit(rows: DataFrame, size: int, *, reg: float, iterations: int = 60) -> Line
     vector = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w"))))
     train = rows.select(vector("places", "values").alias("features"), "weight", both.alias("y"))
-    train = train.select("features", F.col("y.label").alias("label"), (F.col("weight") * F.col("y.w")).alias("weight")).filter("weight > 1e-6").cache()
+    train = train.select("features", F.col("y.label").alias("label"), (F.col("weight") * F.col("y.w")).alias("weight")).filter("weight > 1e-6")
+    # the table is bounded, so a few partitions hold it, and a round's gradients need no shuffle
+    train = train.coalesce(4).cache()
     try:
         if train.select("label").distinct().count() < 2:
             return None

@@ -28,9 +28,10 @@ from .linear import Linear, bucket, fit
 FOLDS = 5
 SAMPLE = 3000      # labelled texts a class that the fit may read
 MINED = 256        # most patterns taken from the sample
-SIZE = 1 << 17     # places of the hashed features
+SIZE = 1 << 16     # places of the hashed features
 TRUST = 0.95       # accuracy that a given label is taken to have
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (4, 5, 6, 7)  # beginnings of words that may become voters
+STEM = 5                 # the beginning that is hashed for the classifier, beside the whole word
 WORD = re.compile(r"[^\W\d_]+")
 
 # Hand-written voters: one lexicon a group, matched on whole words
@@ -83,36 +84,42 @@ class Voters:
     mined: list[str]
 
     def __post_init__(self):
-        self.of_feature: dict[str, list[int]] = {}
+        self.of_word: dict[str, list[int]] = {}
+        self.of_start: dict[str, list[int]] = {}
+        self.of_twice: dict[str, list[int]] = {}
         for k, words in enumerate(LEXICONS.values()):
             for w in words.split():
-                self.of_feature.setdefault(f"={w}", []).append(k)
+                self.of_word.setdefault(w, []).append(k)
         self.patterns = [(len(LEXICONS) + k, re.compile(p)) for k, p in enumerate(PATTERNS.values())]
         for k, f in enumerate(self.mined):
-            self.of_feature.setdefault(f, []).append(len(LEXICONS) + len(PATTERNS) + k)
+            table = self.of_word if f[0] == "=" else self.of_start if f[0] == "^" else self.of_twice
+            table.setdefault(f.lstrip("=2^"), []).append(len(LEXICONS) + len(PATTERNS) + k)
+        self.lengths = sorted({len(f) for f in (*self.of_start, *self.of_twice)})
 
     def __len__(self):
         return len(LEXICONS) + len(PATTERNS) + len(self.mined)
 
-    def read(self, text: str | None, cache: dict) -> tuple[list[int], list[int]]:
+    def read(self, text: str | None) -> tuple[list[int], list[int]]:
         """(voters that vote, places of the hashed features) of one whole text, each once."""
         low = (text or "").lower()
-        votes, seen, once, twice, n = {k for k, p in self.patterns if p.search(low)}, set(), set(), set(), len(self)
-        for w in set(WORD.findall(low)):
-            known = cache.get(w)
-            if known is None:
-                grams = beginnings(w)
-                known = ([k for g in grams for k in self.of_feature.get(g, ())], [k for g in grams for k in self.of_feature.get(f"2{g}", ())],
-                         [bucket(g, SIZE // 2) for g in grams])
-                if len(cache) > 100_000:
-                    cache.clear()
-                cache[w] = known
-            votes.update(known[0])
-            votes.update(seen.intersection(known[1]))
-            seen.update(known[1])
-            twice.update(once.intersection(known[2]))
-            once.update(known[2])
-        return sorted(votes), sorted([n + k for k in once] + [n + SIZE // 2 + k for k in twice])
+        votes, seen, n = {k for k, p in self.patterns if p.search(low)}, set(), len(self)
+        words = set(WORD.findall(low))
+        for w in words:
+            if w in self.of_word:
+                votes.update(self.of_word[w])
+            for size in self.lengths:
+                g = w[:size]
+                if len(g) == size:
+                    if g in self.of_start:
+                        votes.update(self.of_start[g])
+                    if g in self.of_twice:
+                        if g in seen:
+                            votes.update(self.of_twice[g])
+                        seen.add(g)
+        half = SIZE // 2
+        places = {n + bucket(w, half) for w in words}
+        places.update(n + half + bucket(g, half) for g in {w[:STEM] for w in words})
+        return sorted(votes), sorted(places)
 
 
 def vector(votes: list[int], places: list[int]) -> tuple[list[int], np.ndarray]:
@@ -163,8 +170,8 @@ class Model:
     voters: Voters
     linear: Linear
 
-    def score(self, text: str | None, cache: dict) -> float:
-        return float(self.linear.score(*vector(*self.voters.read(text, cache))))
+    def score(self, text: str | None) -> float:
+        return float(self.linear.score(*vector(*self.voters.read(text))))
 
 
 def _default() -> Model:
@@ -211,9 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     voters = Voters(mined)
 
     def votes(batches):
-        cache: dict = {}
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([voters.read(t, cache)[0] for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1), b.column(2)],
+            yield pa.RecordBatch.from_arrays([pa.array([voters.read(t)[0] for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1), b.column(2)],
                                              names=["votes", "y", "weight"])
 
     # rows with the same votes and label are one row: what reaches the driver is bounded by the sample
@@ -225,11 +231,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     label_model = LabelModel.fit(matrix, np.array([r["y"] for r in rows]), np.array([r["weight"] for r in rows]))
 
     def posterior(batches):
-        cache: dict = {}
         for b in batches:
             places, values, p = [], [], []
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                v, f = voters.read(t, cache)
+                v, f = voters.read(t)
                 at, x = vector(v, f)
                 one = np.zeros((1, len(voters)))
                 one[0, v] = 1
@@ -253,9 +258,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         mined, weights, bias = shared.value
-        own, cache = Model(Voters(mined), Linear(weights, bias)), {}
+        own = Model(Voters(mined), Linear(weights, bias))
         for b in batches:
-            s = [own.score(t.as_py(), cache) for t in b.column(2)]
+            s = [own.score(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["id", "held_out", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(remainder(F.col(id_col)) == 0, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
