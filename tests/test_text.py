@@ -58,4 +58,5 @@ def test_metadata_join_rejects_duplicates(spark):
         tx.join_metadata(docs, meta).collect()
     firsts = {r.doc_id: r.cited for r in tx.join_metadata(docs, meta, on_duplicate="first").collect()}
     assert firsts == {1: 5, 2: 7}
-    assert tx.replace_prefix is not None
+    ids = spark.createDataFrame([("https://base.example/W7",), ("W8",)], "id string")
+    assert [r[0] for r in ids.select(tx.replace_prefix("id", "https://base.example/")).collect()] == ["W7", "W8"]

@@ -8,7 +8,6 @@ work is declared with the DataFrame / SQL API so Catalyst plans it.  Sub-package
 * ``operators`` – table-in / table-out operators (cleaning, profiles, windows,
   statistics, models, text, neighbours)
 * ``plans``     – end-to-end analyses composed from operators, and the query registry
-* ``streaming`` – notes on using the stateless operators on streaming frames
 """
 
 __version__ = "0.1.0"

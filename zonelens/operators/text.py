@@ -18,6 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from zonelens.functions import text as T
+from zonelens.functions import porter
 from zonelens.functions.porter import stem
 
 
@@ -52,6 +54,10 @@ def tokenized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.tokens(T.clean_text(F.col("text"))).alias("tokens"))
 
 
+# the stemmer travels to the workers by value: they need not have this package on their path
+cloudpickle.register_pickle_by_value(porter)
+
+
 @F.pandas_udf(StringType())
 def _stem_udf(words: pd.Series) -> pd.Series:
     return words.map(stem)

@@ -88,7 +88,7 @@ class Literature:
     report: DataFrame
 
 
-def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang: str | None = "en",
+def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang: str | None = None,
                max_features: int = 5000, min_df: int = 3, max_df: float = 0.9, n_neighbors: int = 20,
                contamination: float = 0.1, n_topics: int = 5, components: int = 50, seed: int = 42) -> Literature:
     spark = documents.sparkSession

@@ -8,6 +8,3 @@ VALID_LOW, VALID_HIGH = 0.0, 1000.0
 
 # lineitem as a wide numeric table
 LINEITEM_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-
-# documents: the corpus is the English part (stopwords and stemmer are English)
-CORPUS_LANG = "en"

@@ -5,13 +5,12 @@ from pyspark.sql import functions as F
 
 from zonelens.functions import text as T
 from zonelens.operators import text as tx
-from zonelens.plans.config import CORPUS_LANG
 from zonelens.plans.registry import register, table
 from zonelens.plans.sqltext import q, r6
 
 
-def docs(spark, sf, lang=CORPUS_LANG):
-    return tx.corpus(table(spark, sf, "documents"), lang=lang)
+def docs(spark, sf):
+    return tx.corpus(table(spark, sf, "documents"))
 
 
 def proc(spark, sf, stem_words=True):
@@ -33,7 +32,7 @@ SW = "[" + ", ".join(q(w) for w in T.stopwords()) + "]"
 EDGE = _g(_g(_g("x", T.TRAILING_DOTS), T.CLITIC), T.QUOTES)
 TOKENS_SQL = f"""tok AS (SELECT doc_id, list_filter(list_transform(string_split_regex(lower({clean_sql('text')}), {q(T.SEPARATORS)}),
                       lambda x: {EDGE}), lambda x: regexp_matches(x, {q(T.WORD)}) AND NOT list_contains({SW}, x)) AS toks
-        FROM documents WHERE lang = {q(CORPUS_LANG)})"""
+        FROM documents)"""
 
 
 @register("text_clean", f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents")
