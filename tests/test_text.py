@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonelens.functions import text as T
-from zonelens.functions.porter import stem
 from zonelens.operators import text as tx
 
 
@@ -27,13 +26,33 @@ def test_ngrams(spark):
     assert out == [["a", "b", "c", "a b", "b c"], [], ["x"]]
 
 
-@pytest.mark.parametrize("word,expected", [
-    ("caresses", "caress"), ("ponies", "poni"), ("ties", "tie"), ("agreed", "agre"), ("hopping", "hop"),
-    ("relational", "relat"), ("generalization", "gener"), ("dying", "die"), ("skies", "sky"),
-    ("quality", "qualiti"), ("running", "run"), ("controll", "control"), ("pollution", "pollut"),
-])
-def test_porter(word, expected):
-    assert stem(word) == expected
+# words of the published description of the algorithm, with the result of all its steps
+PUBLISHED = dict(pair.split(":") for pair in """
+caresses:caress ponies:poni caress:caress cats:cat agreed:agre plastered:plaster bled:bled motoring:motor sing:sing
+conflated:conflat troubled:troubl sized:size hopping:hop tanned:tan falling:fall hissing:hiss fizzed:fizz failing:fail
+filing:file happy:happi relational:relat conditional:condit rational:ration digitizer:digit radically:radic
+differently:differ analogously:analog operator:oper feudalism:feudal decisiveness:decis hopefulness:hope
+callousness:callous formality:formal sensitivity:sensit sensibility:sensibl triplicate:triplic formative:form
+formalize:formal electrical:electr goodness:good revival:reviv allowance:allow inference:infer airliner:airlin
+adjustable:adjust defensible:defens irritant:irrit replacement:replac adjustment:adjust dependent:depend
+adoption:adopt communism:commun activate:activ homologous:homolog effective:effect probate:probat rate:rate
+cease:ceas controll:control roll:roll
+ties:tie tied:tie dying:die skies:sky news:news generalization:gener pollution:pollut syzygy:syzygi été:été
+""".split())
+
+
+def test_stems_of_the_published_words(spark):
+    words = list(PUBLISHED)
+    df = spark.createDataFrame([(1, words), (2, []), (3, ["by", "s", "ing", "ied"])], "doc_id long, tokens array<string>")
+    out = {r.doc_id: r.stems for r in tx.stemmed(df).collect()}
+    assert dict(zip(words, out[1])) == PUBLISHED
+    assert out[2] == [] and out[3] == ["by", "s", "ing", "i"]
+
+
+def test_stemming_is_narrow_and_without_python(spark):
+    docs = spark.createDataFrame([(1, "running dogs")], "doc_id long, text string")
+    plan = tx.processed(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan and "Aggregate" not in plan
 
 
 def test_tfidf_rows_unit_length_and_idf(spark):

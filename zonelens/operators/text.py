@@ -1,11 +1,7 @@
 """Corpus preparation and TF-IDF as Spark jobs.
 
-Per document: cleaning, tokenising and n-grams are column expressions.  Stemming is a
-vocabulary job: the distinct tokens of the corpus (a partial-aggregated ``distinct``,
-so frequent tokens are combined before the shuffle) are stemmed by an Arrow-batched
-pandas UDF and joined back; adaptive execution broadcasts that table when its measured
-size allows and otherwise splits skewed join partitions.  Documents are re-assembled
-in token order with a per-document ``collect_list`` (bounded by one document's length).
+Per document: cleaning, tokenising, stemming and n-grams are column expressions over the
+token array, so a processed document needs no shuffle and reads its text once.
 
 TF-IDF: term frequencies are one aggregate over (document, term); document frequency
 and corpus count one more over term.  The vocabulary is cut to ``max_features`` terms
@@ -17,17 +13,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from zonelens.functions import text as T
-from zonelens.functions import porter
-from zonelens.functions.porter import stem
+from zonelens.functions.stems import stems
 
 
 def corpus(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -54,32 +46,15 @@ def tokenized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.tokens(T.clean_text(F.col("text"))).alias("tokens"))
 
 
-# the stemmer travels to the workers by value: they need not have this package on their path
-cloudpickle.register_pickle_by_value(porter)
-
-
-@F.pandas_udf(StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
 def stem_table(tokens: DataFrame, col: str = "tokens") -> DataFrame:
     """(token, stem) for every distinct token of the corpus."""
     distinct = tokens.select(F.explode(col).alias("token")).distinct()
-    # the stemmer is CPU-bound Python: keep as many partitions as the shuffle setting
-    # (sized for the data) instead of letting adaptive execution coalesce the small
-    # distinct-token table into a few tasks
-    n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return distinct.repartition(n, "token").select("token", _stem_udf("token").alias("stem"))
+    return distinct.select("token", stems(F.array("token"))[0].alias("stem"))
 
 
 def stemmed(tokens: DataFrame, col: str = "tokens") -> DataFrame:
     """(doc_id, stems): every token replaced by its stem, text order kept."""
-    table = stem_table(tokens, col)
-    flat = tokens.select("doc_id", F.posexplode(col).alias("pos", "token"))
-    joined = flat.join(table, "token")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "stem")))
-    return joined.groupBy("doc_id").agg(F.transform(ordered, lambda s: s["stem"]).alias("stems"))
+    return tokens.select("doc_id", stems(F.col(col)).alias("stems"))
 
 
 def processed(docs: DataFrame, *, stem_words: bool = True, min_chars: int = 200) -> DataFrame:
