@@ -85,8 +85,13 @@ def tokens(cleaned: Column, stop: tuple[str, ...] | None = None) -> Column:
         t = F.regexp_replace(t, CLITIC, "")
         return F.regexp_replace(t, QUOTES, "")
 
-    norm = F.transform(parts, edge)
-    return F.filter(norm, lambda t: t.rlike(WORD) & ~t.isin(list(stop)))
+    def word(t: Column) -> Column:
+        # most parts are letters only; the edge work is for parts that have such an edge
+        edged = t.endswith(".") | t.contains("'") | t.contains("`")
+        return F.when(t.rlike(WORD), t).when(edged, edge(t))
+
+    norm = F.transform(parts, word)
+    return F.filter(norm, lambda t: ~t.isin(list(stop)) & t.rlike(WORD))
 
 
 def ngrams(toks: Column, n_max: int = 2) -> Column:
