@@ -32,12 +32,13 @@ def zones(readings: DataFrame, measures: Sequence[str], *, key: str = "district"
 def drivers(readings: DataFrame, measures: Sequence[str], *, keys: Sequence[str] = ("district", "year", "hour"),
             scale: Mapping[str, float] | None = None, fraction: float | None = None,
             max_rows: int | None = None, k: int | None = None) -> drv.PcaResult:
-    """PCA of the hourly vectors.  ``fraction`` / ``max_rows`` reproduce the original's
-    sampling deterministically (hash sample, hash-ordered limit); by default every
-    vector is used, which costs one aggregate more, not more memory."""
-    vec = profile.hourly_vectors(readings, measures, keys=keys, scale=scale)
+    """PCA of the hourly vectors.  ``fraction`` (of the readings, before the pivot) and
+    ``max_rows`` (of the vectors) sample in the original's order, deterministically: by hash
+    of the whole row, and by hash-ordered limit.  By default every reading is used, which
+    costs one aggregate more, not more memory."""
     if fraction is not None:
-        vec = sample.hash_sample(vec, list(keys), fraction)
+        readings = sample.hash_sample(readings, readings.columns, fraction)
+    vec = profile.hourly_vectors(readings, measures, keys=keys, scale=scale)
     if max_rows is not None:
         vec = sample.hash_limit(vec, list(keys), max_rows)
     return drv.pca(vec, list(measures), k=k)

@@ -60,5 +60,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import the query modules (each registers its keys)."""
-    for mod in ("q_readings", "q_series", "q_stats", "q_text", "q_neighbours", "q_models", "q_io"):
+    for mod in ("q_readings", "q_series", "q_stats", "q_text", "q_neighbours", "q_models", "q_io", "q_chains"):
         importlib.import_module(f"zonelens.plans.{mod}")
