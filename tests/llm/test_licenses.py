@@ -54,7 +54,8 @@ def test_edge_cases_and_overlaps(docs_of):
     texts = [None, "", "...", "MIT License", "mit license mit license, Apache-License! x", "the GNU General Public License, version 3 or later",
              "gnu lesser general public license version 2 1 and more", "Licensed under CC BY-NC 4.0.", "permission is hereby granted, free of charge, to any person obtaining a copy",
              "non mit licenses are not it", "ÉMIT LICENSE", "mit license " * 20_000, "Released under the MIT License. All rights reserved. Copyright (c) 2020"]
-    docs = docs_of([*enumerate(texts), (3, "MIT License"), (None, "apache license")])
+    again = [(90, "under the Mozilla Public License, version 2.0")] * 3  # a name inside a longer detection, in repeated rows
+    docs = docs_of([*enumerate(texts), (3, "MIT License"), (None, "apache license"), *again])
     compare(docs)
     assert licenses.scan(docs.limit(0)).count() == 0
 

@@ -203,7 +203,9 @@ def detections(found: DataFrame, table: list[Rule] | None = None) -> DataFrame:
     (key, found) rows as :func:`hits` gives them; start and stop are character offsets."""
     table = rules() if table is None else table
     about = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for r in table])
-    rows = found.select("key", F.explode("found").alias("r"))
+    # rows of equal id and text have one key: one of them speaks for all.  Both windows below need
+    # no other shuffle than this one
+    rows = found.dropDuplicates(["key"]).select("key", F.explode("found").alias("r"))
     # the pieces between the hits give the places of the hits
     rows = rows.select("key", "r.rule", F.posexplode(F.arrays_zip(F.col("r.gap").alias("gap"), F.col("r.hit").alias("hit"))).alias("i", "x"))
     rows = rows.select("key", "rule", "i", "x.gap", "x.hit")
@@ -233,7 +235,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # the texts are read once; what is kept of them is narrow
     read = stored(rows.select("id", "key", *[c.alias(k) for k, c in digest.items()], hits(F.col("t"), rules()).alias("found")), "licenses")
     narrow = read.drop("found")
-    # rows of equal id and text have one key: their detections come twice, which sets bear
     per = detections(read.filter(F.size("found") > 0)).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("confidence").alias("confidence"))
     both = narrow.join(per, "key", "left")
     base, more = F.col("base"), F.coalesce("more", F.array().cast("array<string>"))
