@@ -53,3 +53,24 @@ def test_edge_cases(spark, docs_of, encode):
     assert sorted((str(r.id), r.n_tokens) for r in got.collect()) == sorted((str(i), encode(t)) for i, t in rows)
     docs_of(rows).limit(0).write.parquet(f"{path}-none")
     assert tokencount.token_counts(spark.read.parquet(f"{path}-none"), staging_path(spark, "t")).count() == 0
+
+
+def test_splits_are_held_and_misplaced_rows_fail(spark, docs_of):
+    name = "spark.sql.files.minPartitionNum"
+    with tokencount.same_splits(spark):
+        assert spark.conf.get(name) == str(spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(name, None) is None
+    path = staging_path(spark, "held-docs")
+    docs_of([(k, "some words here") for k in range(50)]).write.parquet(path)
+    docs = spark.read.parquet(path)
+    spark.conf.set(name, "3")
+    try:
+        with tokencount.same_splits(spark):
+            assert spark.conf.get(name) == "3"
+        assert tokencount.token_counts(docs, staging_path(spark, "t")).count() == 50
+    finally:
+        spark.conf.unset(name)
+    with pytest.raises(Exception, match="straight from a table"):  # dealt anew, so the files' order isn't the rows'
+        flat = staging_path(spark, "t")
+        tokencount.write_flat(docs.limit(10), flat)
+        tokencount.named(tokencount.numbered(docs), tokencount.scan_files(spark, flat)).collect()

@@ -12,6 +12,7 @@ Nothing depends on the size of a file."""
 from __future__ import annotations
 
 import base64
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import checkpointed, ship
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 EOD = 50256
@@ -117,22 +118,49 @@ def scan_files(spark: SparkSession, path: str, *, eod: int = EOD, width: int = W
     return documents(ends(blocks(spark, path, block_bytes, width), eod, width))
 
 
+@contextmanager
+def same_splits(spark: SparkSession):
+    """While this holds, a scan is cut alike whatever executors come or go: unless a number is
+    set, Spark derives the size of a scan's splits from the cores present when it is planned."""
+    name = "spark.sql.files.minPartitionNum"
+    ours = spark.conf.get(name, None) is None
+    if ours:
+        spark.conf.set(name, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(name)
+
+
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, vocabulary_path: str = VOCABULARY,
                  eod: int = EOD, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, n_tokens) of every row of ``docs``, counted in the flat files written below ``path``.
 
     File k holds the texts of partition k in their order, so (k, ordinal) names the row; ``docs``
-    must come straight from a table (a scan deals its rows out alike each time).  Null and empty
+    must come straight from a table (with :func:`same_splits` a scan deals its rows out alike each
+    time; a row without its document in the files fails the job).  Null and empty
     texts count 0, repeated rows count each, null ids are kept; other columns are not read.  An
     empty table gives an empty result."""
     spark = docs.sparkSession
-    write_flat(docs, path, text_col, vocabulary_path=vocabulary_path, eod=eod, width=width)
-    found = scan_files(spark, path, eod=eod, width=width, block_bytes=block_bytes)
+    with same_splits(spark):
+        write_flat(docs, path, text_col, vocabulary_path=vocabulary_path, eod=eod, width=width)
+        places = checkpointed(numbered(docs, id_col))
+    return named(places, scan_files(spark, path, eod=eod, width=width, block_bytes=block_bytes))
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, place) of every row: partition << 33 | row of the partition."""
+    return docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("place"))
+
+
+def named(places: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, n_tokens): the rows of :func:`numbered` with the documents of the files of their
+    partitions."""
     part = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
-    place = F.monotonically_increasing_id()  # partition << 33 | row
-    rows = docs.select(F.col(id_col).alias("id"), place.alias("place"))
     counted = found.select(F.shiftleft(part, 33).bitwiseOR(F.col("ordinal")).alias("place"), "n_tokens")
-    return rows.join(counted, "place", "left").select("id", F.col("n_tokens").alias("n_tokens"))
+    missing = F.raise_error(F.lit("a row has no document in the token files: docs must come straight from a table")).cast("long")
+    return places.join(counted, "place", "left").select("id", F.coalesce("n_tokens", missing).alias("n_tokens"))
 
 
 ship(__name__)
