@@ -83,12 +83,13 @@ def places(docs: DataFrame, id_col: str, text_col: str, min_words: int, max_unit
 
 def repeated(found: DataFrame) -> DataFrame:
     """(key, at, n): the places of repeated spans that are not the first of their span."""
-    # most hashes occur once: a slim count finds the others before any place is compared
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    held = found.join(again, "h", "left_semi")
+    # most hashes occur once: a slim count finds the others before any place is compared.  What is
+    # joined is stored: skew splitting needs two plain shuffles, an aggregate on one side forbids it
+    again = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "spans-again")
+    held = stored(found.join(again, "h", "left_semi"), "spans-held")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "at")
     first = held.groupBy("h").agg(F.min(order).alias("first"))
-    first = first.select("h", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at"))
+    first = stored(first.select("h", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")), "spans-first")
     return held.join(first, "h").filter("key <> first_key or at <> first_at").select("key", "at", "n")
 
 
