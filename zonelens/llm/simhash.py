@@ -120,8 +120,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = checkpointed(fingerprints(docs, id_col, text_col, shingle))
     nodes = checkpointed(fps.groupBy("fp").agg(F.min("id").alias("rep")))
     roots = components(links(nodes, max_bits, segments))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = checkpointed(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    lowest = checkpointed(named.groupBy("root").agg(F.min("rep").alias("component_id")))
     of = named.join(lowest, "root").select("fp", "root", "component_id")
     return fps.join(of, "fp", "left").select("id", "key", "fp", "root", "component_id")
 
