@@ -3,6 +3,9 @@ from pyspark.sql import functions as F
 
 from zonelens.functions import text as T
 from zonelens.operators import text as tx
+from zonelens.plans import q_text
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_cleaning_patterns(spark):
@@ -79,3 +82,15 @@ def test_metadata_join_rejects_duplicates(spark):
     assert firsts == {1: 5, 2: 7}
     ids = spark.createDataFrame([("https://base.example/W7",), ("W8",)], "id string")
     assert [r[0] for r in ids.select(tx.replace_prefix("id", "https://base.example/")).collect()] == ["W7", "W8"]
+
+
+def test_documents_keep_their_splits_unless_told(spark):
+    plain = q_text.docs(spark, SF)
+    spark.conf.set(q_text.TEXT_PARTITIONS, "3")
+    try:
+        dealt = q_text.docs(spark, SF)
+    finally:
+        spark.conf.unset(q_text.TEXT_PARTITIONS)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(plain) and "RoundRobinPartitioning(3)" in plan(dealt)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))

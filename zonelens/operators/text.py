@@ -23,18 +23,16 @@ from zonelens.functions.stems import stems
 
 
 def corpus(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-           lang: str | None = None) -> DataFrame:
-    """(doc_id, text) of the documents, optionally of one language."""
+           lang: str | None = None, partitions: int | None = None) -> DataFrame:
+    """(doc_id, text) of the documents, optionally of one language.
+
+    Text work is CPU-bound per row.  A scan's own splits are kept, so no text is shuffled; a
+    caller whose few large files give too few splits names the ``partitions`` to deal them to."""
     df = documents
     if lang is not None:
         df = df.filter(F.col("lang") == F.lit(lang))
     df = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # text work is CPU-bound per row: when the scan yields fewer splits than there are
-    # task slots (few large files), spread the rows first; a large input keeps its splits
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:

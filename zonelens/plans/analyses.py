@@ -91,9 +91,10 @@ class Literature:
 
 def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang: str | None = None,
                max_features: int = 5000, min_df: int = 3, max_df: float = 0.9, n_neighbors: int = 20,
-               contamination: float = 0.1, n_topics: int = 5, components: int = 50, seed: int = 42) -> Literature:
+               contamination: float = 0.1, n_topics: int = 5, components: int = 50, seed: int = 42,
+               partitions: int | None = None) -> Literature:
     spark = documents.sparkSession
-    docs = tx.corpus(documents, lang=lang)
+    docs = tx.corpus(documents, lang=lang, partitions=partitions)
     if metadata is not None:  # the corpus is the documents that have metadata
         docs = docs.join(metadata.select("doc_id").distinct(), "doc_id")
     proc = zn.checkpointed(tx.processed(docs), "doc_id")

@@ -9,8 +9,17 @@ from zonelens.plans.registry import register, table
 from zonelens.plans.sqltext import q, r6
 
 
+#: Session setting: partitions that the text queries deal the documents to (unset: the scan's splits)
+TEXT_PARTITIONS = "spark.zonelens.text.partitions"
+
+
+def text_partitions(spark) -> int | None:
+    n = spark.conf.get(TEXT_PARTITIONS, None)
+    return None if n is None else int(n)
+
+
 def docs(spark, sf):
-    return tx.corpus(table(spark, sf, "documents"))
+    return tx.corpus(table(spark, sf, "documents"), partitions=text_partitions(spark))
 
 
 def proc(spark, sf, stem_words=True):
@@ -38,7 +47,7 @@ TOKENS_SQL = f"""tok AS (SELECT doc_id, list_filter(list_transform(string_split_
 @register("text_clean", f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents")
 def text_clean(spark, sf):
     """URLs, @-tokens, bracketed citations removed, whitespace runs collapsed."""
-    return tx.cleaned(tx.corpus(table(spark, sf, "documents")))
+    return tx.cleaned(docs(spark, sf))
 
 
 @register("text_tokens", f"WITH {TOKENS_SQL}\nSELECT doc_id, array_to_string(toks, ' ') AS tokens FROM tok")
