@@ -64,3 +64,34 @@ def test_edge_cases(docs_of):
     assert len(by["4"]) == 2 and by["4"][0] == by["4"][1] and by["5"] == [(3, 3)] and by["None"] == [(3, 3)]
     assert [r.text for r in out.filter("doc_id = 1").collect()] == [None]
     assert spans.dedup_spans(docs.limit(0)).count() == 0
+
+
+def test_passages_at_any_offset_go_whole(docs_of):
+    """A passage that starts mid-sentence, in unpunctuated text or in text without blanks goes from its
+    first to its last word."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    some = lambda n: " ".join(word() for _ in range(n))
+    passages = [some(400), some(60), " ".join(some(9) + "." for _ in range(5)) + " " + some(6), some(50)]
+    rows = []
+    for k, p in enumerate(passages):
+        for i, before in enumerate((3, 5, 17, 40)):
+            rows.append((10 * k + i, f"{some(before)} {p} {some(4 + 11 * i)}"))
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    copied = han(60)
+    rows += [(90 + i, han(7 + i) + copied + han(30)) for i in range(3)]
+    got = {r.doc_id: r for r in spans.dedup_spans(docs_of(rows), extend=True).collect()}
+    for i, text in rows:
+        p = copied if i >= 90 else passages[i // 10]
+        n = len(p) if i >= 90 else len(p.split())
+        if i % 10 == 0:
+            assert got[i].text == text and got[i].words_removed == 0
+        else:
+            before, after = text.split(p)
+            assert got[i].words_removed == n and got[i].text.split() == (before + " " * (i < 90) + after).split()
+
+
+def test_extension_keeps_one_copy_of_repeats(docs_of):
+    text = "word " * 300
+    got = {r.doc_id: r for r in spans.dedup_spans(docs_of([(1, text), (2, text), (2, text), (3, None)]), extend=True).collect()}
+    assert 0 < got[1].words_removed < 300 and got[2].words_removed == 300 and got[3].words_removed == 0

@@ -53,7 +53,7 @@ def op8_token_counts(spark, sf_dir):
 
 
 def op9_span_dedup(spark, sf_dir):
-    rows = spans.dedup_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = spans.dedup_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), extend=True)
     return rows.select("doc_id", "n_sentences", "n_removed", "words_removed", "text")
 
 

@@ -1,60 +1,120 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (after . ! ? and at line ends; sentences of over ``max_unit``
-words are cut further into pieces of that many words, so that unpunctuated text has spans
-too).  From every sentence a span of several consecutive ones starts: the shortest run of at
-least two with at least ``min_words`` words.  Every span is hashed, all hashes meet in one
-global aggregate that gives each repeated span its first place (smallest id, then place), and
-every sentence that lies in a non-first place of a repeated span is removed.
+A text is cut into sentences (after . ! ? and at line ends).  Sentences of over ``max_unit``
+words are cut further before the words whose hash is the smallest of any ``max_unit``
+consecutive words of the sentence: pieces have at most that many words, and where they are cut
+depends on the words nearby only, not on the sentence's start.  So a passage of ``min_words`` +
+2 ``max_unit`` words holds a whole run wherever it begins, punctuated or not.  In scripts
+written without blanks every character counts as a word.  From every sentence or piece a span
+of several consecutive ones starts: the shortest run of at least two with at least
+``min_words`` words.  Every span is hashed, all hashes meet in one global aggregate that gives
+each repeated span its first place (smallest id, then place), and every sentence that lies in
+a non-first place of a repeated span is removed.  With ``extend`` the words beside a removed
+stretch go too, as far as they are those beside its first place.
 
 Scale: one (hash, row, place) row a sentence is shuffled, not the texts; a hash found in a
 third of all rows is pre-aggregated to its minimum in each task, and the join back to the
 places is left to adaptive skew splitting.  Each text is shuffled once, to meet its own
-places.  Sentences are cut by one generator, so a very long text needs memory for itself
-only."""
+places, and to extend once more if it holds first places; what is sent from a first place to
+its repeats is the hashes of a bounded number of words.  Sentences are cut by one generator, so
+a very long text needs memory for itself only."""
 from __future__ import annotations
 
 import re
+import zlib
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, ship, stored
+from .common import row_key, ship, small, stored
 
 MIN_WORDS = 20
-MAX_UNIT = 40
-SENTENCE = re.compile(r"[^\n]*?[.!?](?=\s)|[^\n]+")
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+MAX_UNIT = 15
+#: First places whose words are sent to all tasks (counted); more are joined by a shuffle.
+SENT_ROWS = 20_000
+# Scripts written without blanks: Thai to Tibetan, Burmese, Khmer, kana, Han
+UNSPACED = "฀-࿿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U000323AF"
+SENTENCE = re.compile(r"[^\n]*?[.!?。！？｡](?:(?=\s)|(?<=[。！？｡]))|[^\n]+")
+BLANKLESS = re.compile(f"[{UNSPACED}]")
+PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
+WORD = re.compile(rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]+")
 
 
-def sentences(text: str | None, max_unit: int = MAX_UNIT) -> list[tuple[int, int, int]]:
-    """(start, stop, words) of the sentences of a text in order, as character offsets; pieces
-    without a word are left out."""
-    out = []
-    for m in SENTENCE.finditer(text or ""):
-        words = [w.span() for w in WORD.finditer(m.group())]
-        for k in range(0, len(words), max_unit):
-            part = words[k:k + max_unit]
-            out.append((m.start() + part[0][0], m.start() + part[-1][1], len(part)))
+def breaks(words: list[bytes], window: int) -> list[int]:
+    """The places in a sentence's words before which it is cut: the smallest hash (the last of
+    equal ones) of every ``window`` consecutive words; none in a sentence of no more words."""
+    if len(words) <= window:
+        return []
+    h = list(map(zlib.crc32, words))
+
+    def lowest(a, b):
+        part = h[a:b][::-1]
+        return b - 1 - part.index(min(part))
+
+    at = lowest(0, window)
+    out = [at] if at else []
+    for i in range(window, len(h)):
+        if h[i] <= h[at]:
+            at = i
+        elif at <= i - window:
+            at = lowest(i - window + 1, i + 1)
+        else:
+            continue
+        out.append(at)
     return out
 
 
+def has_blanks(text: str) -> bool:
+    return text.isascii() or BLANKLESS.search(text) is None
+
+
+def cuts(text: str | None, max_unit: int):
+    """(sentence, lower-cased words, places of its pieces in them) of the sentences with a word."""
+    blanks = has_blanks(text or "")
+    for m in SENTENCE.finditer(text or ""):
+        low = m.group().lower()
+        # bytes are split at the white space of PLAIN
+        words = low.encode().split() if blanks else [w.encode() for w in WORD.findall(low)]
+        if words:
+            yield m, words, [0, *breaks(words, max_unit), len(words)]
+
+
+def units(text: str | None, max_unit: int = MAX_UNIT) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The words of a text as character offsets, and its sentences or pieces as offsets in that list."""
+    words, out = [], []
+    word = PLAIN if has_blanks(text or "") else WORD
+    for m, _, at in cuts(text, max_unit):
+        out += [(len(words) + a, len(words) + b) for a, b in pairwise(at)]
+        words += [w.span() for w in word.finditer(text, m.start(), m.end())]
+    return words, out
+
+
+def sentences(text: str | None, max_unit: int = MAX_UNIT) -> list[tuple[int, int, int]]:
+    """(start, stop, words) of the sentences or pieces of a text in order, as character offsets;
+    those without a word are left out."""
+    words, cut = units(text, max_unit)
+    return [(words[a][0], words[b - 1][1], b - a) for a, b in cut]
+
+
 def spans(text: str | None, min_words: int = MIN_WORDS, max_unit: int = MAX_UNIT) -> list[tuple[int, int, int]]:
     """(hash, first sentence, sentences) of every span of a text.  Case and white space do not
     count; a run that the text's end cuts short of ``min_words`` is no span."""
-    cut = sentences(text, max_unit)
-    form = [" ".join(text[a:b].lower().split()) for a, b, _ in cut]
+    size, form = [], []
+    for _, words, at in cuts(text, max_unit):
+        size += [b - a for a, b in pairwise(at)]
+        form += [" ".join(b" ".join(words[a:b]).decode().split()) for a, b in pairwise(at)]
     out, stop, n = [], 0, 0
-    for i in range(len(cut)):
-        while stop < len(cut) and (n < min_words or stop - i < 2):
-            n += cut[stop][2]
+    for i in range(len(size)):
+        while stop < len(size) and (n < min_words or stop - i < 2):
+            n += size[stop]
             stop += 1
         if n < min_words or stop - i < 2:
             break
         out.append((xxhash.xxh64_intdigest("\n".join(form[i:stop])) - (1 << 63), i, stop - i))
-        n -= cut[i][2]
+        n -= size[i]
     return out
 
 
@@ -82,7 +142,8 @@ def places(docs: DataFrame, id_col: str, text_col: str, min_words: int, max_unit
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """(key, at, n): the places of repeated spans that are not the first of their span."""
+    """(key, at, n, first_key, first_at): the places of repeated spans that are not the first of
+    their span, and the first."""
     # most hashes occur once: a slim count finds the others before any place is compared.  What is
     # joined is stored: skew splitting needs two plain shuffles, an aggregate on one side forbids it
     again = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "spans-again")
@@ -90,20 +151,95 @@ def repeated(found: DataFrame) -> DataFrame:
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "at")
     first = held.groupBy("h").agg(F.min(order).alias("first"))
     first = stored(first.select("h", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")), "spans-first")
-    return held.join(first, "h").filter("key <> first_key or at <> first_at").select("key", "at", "n")
+    return held.join(first, "h").filter("key <> first_key or at <> first_at").select("key", "at", "n", "first_key", "first_at")
+
+
+def beside(cut: DataFrame, docs: DataFrame, id_col: str, text_col: str, max_unit: int, limit: int) -> DataFrame:
+    """(key, sides) with sides (unit, after, words): the hashes of up to ``limit`` words before or after
+    the first place of each span that borders on a sentence which stays, from (key, hits) rows."""
+
+    def borders(batches):
+        for b in batches:
+            out = {"key": [], "unit": [], "after": [], "first_key": [], "first_unit": []}
+            for key, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                gone = {k for r in found for k in range(r["at"], r["at"] + r["n"])}
+                sides = set()
+                for r in found:
+                    if r["at"] and r["at"] - 1 not in gone:
+                        sides.add((r["at"], False, r["first_key"], r["first_at"]))
+                    if r["at"] + r["n"] not in gone:
+                        sides.add((r["at"] + r["n"], True, r["first_key"], r["first_at"] + r["n"]))
+                for side in sides:
+                    for name, x in zip(out, (key, *side)):
+                        out[name].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(out, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()))], names=list(out))
+
+    def firsts(batches):
+        for b in batches:
+            out = {"first_key": [], "first_unit": [], "after": [], "words": []}
+            for key, text, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                text = text.as_py()
+                words, parts = units(text, max_unit)
+                for r in asked:
+                    p = parts[r["first_unit"]][0] if r["first_unit"] < len(parts) else len(words)
+                    near = words[p:p + limit] if r["after"] else words[max(0, p - limit):p][::-1]
+                    for name, x in zip(out, (key, r["first_unit"], r["after"], word_hashes(text, near))):
+                        out[name].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(out, (pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())))], names=list(out))
+
+    asked = stored(cut.mapInArrow(borders, "key long, unit int, after boolean, first_key long, first_unit int"), "spans-borders")
+    per = asked.select("first_key", "first_unit", "after").distinct().groupBy("first_key").agg(F.collect_list(F.struct("first_unit", "after")).alias("asked"))
+    texts = docs.select(row_key(id_col, text_col).alias("first_key"), F.col(text_col).cast("string").alias("text"))
+    near = texts.join(per, "first_key").mapInArrow(firsts, "first_key long, first_unit int, after boolean, words array<long>")
+    place = ["first_key", "first_unit", "after"]
+    near = stored(near.filter(F.size("words") > 0).dropDuplicates(place), "spans-beside")
+    return asked.join(small(near, SENT_ROWS), place).groupBy("key").agg(F.collect_list(F.struct("unit", "after", "words")).alias("sides"))
+
+
+def word_hashes(text: str, words: list[tuple[int, int]]) -> list[int]:
+    return [xxhash.xxh64_intdigest(text[a:b].lower()) - (1 << 63) for a, b in words]
+
+
+def extended(text: str, words: list[tuple[int, int]], parts: list[tuple[int, int]], drop: list[int], sides: list) -> list[tuple[int, int]]:
+    """Stretches of words (offsets in ``words``, ordered, disjoint) beside the dropped sentences that
+    equal those beside a first place."""
+    more = set()
+    for r in sides:
+        p = parts[r["unit"]][0] if r["unit"] < len(parts) else len(words)
+        own = words[p:p + len(r["words"])] if r["after"] else words[max(0, p - len(r["words"])):p][::-1]
+        for k, (x, y) in enumerate(zip(word_hashes(text, own), r["words"])):
+            if x != y:
+                break
+            more.add(p + k if r["after"] else p - 1 - k)
+    for k in drop:
+        more.difference_update(range(*parts[k]))
+    out = []
+    for w in sorted(more):
+        if out and out[-1][1] == w:
+            out[-1] = (out[-1][0], w + 1)
+        else:
+            out.append((w, w + 1))
+    return out
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS,
-                max_unit: int = MAX_UNIT) -> DataFrame:
+                max_unit: int = MAX_UNIT, extend: bool = False) -> DataFrame:
     """``docs`` with repeated spans taken out of ``text_col`` and the new columns ``n_sentences``,
     ``n_removed`` (sentences) and ``words_removed``.
 
-    Null ids come last.  Rows of equal id and text are one
+    With ``extend`` the words beside a removed stretch go as well while they are those beside its
+    first place; they count in ``words_removed`` only.  Null ids come last.  Rows of equal id and text are one
     document: they keep or lose the same sentences.  White space around a removed sentence
     stays; a text without repeats comes back byte for byte; null texts stay null; an empty table
     gives an empty result; columns named as the new ones are replaced."""
     found = stored(places(docs, id_col, text_col, min_words, max_unit), "spans")
-    cut = repeated(found).distinct().groupBy("key").agg(F.collect_list(F.struct("at", "n")).alias("_cut"))
+    cut = repeated(found).distinct().groupBy("key").agg(F.collect_list(F.struct("at", "n", "first_key", "first_at")).alias("hits"))
+    if extend:
+        cut = stored(cut, "spans-cut")
+        cut = cut.join(beside(cut, docs, id_col, text_col, max_unit, min_words + 2 * max_unit), "key", "left")
+    else:
+        cut = cut.withColumn("sides", F.lit(None).cast("array<struct<unit:int,after:boolean,words:array<bigint>>>"))
+    cut = cut.select("key", F.struct(F.transform("hits", lambda r: F.struct(r["at"].alias("at"), r["n"].alias("n"))).alias("hits"), "sides").alias("_cut"))
     new = ("n_sentences", "n_removed", "words_removed")
     marked = docs.drop(*new).withColumn("_key", row_key(id_col, text_col)).join(cut.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
     names = [f.name for f in marked.schema if f.name != "_cut"]
@@ -114,11 +250,14 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts, sizes, gone, words = [], [], [], []
             for text, ranges in zip(b.column(text_col), b.column("_cut").to_pylist()):
                 text = text.as_py()
-                parts = sentences(text, max_unit)
-                drop = sorted({k for r in ranges or () for k in range(r["at"], r["at"] + r["n"])})
-                if drop:
-                    text = without(text, [parts[k][:2] for k in drop])
-                texts.append(text), sizes.append(len(parts)), gone.append(len(drop)), words.append(sum(parts[k][2] for k in drop))
+                if not ranges:
+                    texts.append(text), sizes.append(sum(len(at) - 1 for _, _, at in cuts(text, max_unit))), gone.append(0), words.append(0)
+                    continue
+                held, parts = units(text, max_unit)
+                drop = sorted({k for r in ranges["hits"] for k in range(r["at"], r["at"] + r["n"])})
+                lost = sorted([*(parts[k] for k in drop), *extended(text, held, parts, drop, ranges["sides"] or ())])
+                texts.append(without(text, [(held[a][0], held[b - 1][1]) for a, b in lost]))
+                sizes.append(len(parts)), gone.append(len(drop)), words.append(sum(b - a for a, b in lost))
             cols = [pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, *(pa.array(x, pa.int64()) for x in (sizes, gone, words))], names=[*names, *new])
 
