@@ -78,3 +78,45 @@ def test_plan_is_native(spark):
     docs = read(spark, SF, "documents")
     plan = licenses.scan(docs.select("*", F.lit(1).alias("labels")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def samples(pattern):
+    """Strings that a pattern matches: every alternative, with and without every optional part."""
+    from re import _parser
+
+    def walk(tree):
+        out = [""]
+        for op, x in tree:
+            name = str(op)
+            if name == "LITERAL":
+                got = [chr(x)]
+            elif name == "BRANCH":
+                got = [y for branch in x[1] for y in walk(branch)]
+            elif name == "SUBPATTERN":
+                got = walk(x[3])
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                got = [y * n for n in sorted({x[0], min(x[1], max(x[0], 1))}) for y in walk(x[2])]
+            elif name == "IN":
+                got = [chr(x[0][1] if str(x[0][0]) == "LITERAL" else x[0][1][0])]
+            else:
+                assert name == "ANY", name
+                got = ["x"]
+            out = [a + b for a in out for b in dict.fromkeys(got)]
+        return out
+
+    return walk(_parser.parse(pattern))
+
+
+def test_every_alternative_passes_its_own_gate():
+    for r in licenses.rules():
+        for text in samples(r.pattern):
+            assert re.fullmatch(r.pattern, text), (r, text)
+            assert f" {r.keyword}" in f" {text} " and r.anchor in f" {text} ", (r, text)
+
+
+def test_short_names_are_found(docs_of):
+    want = {"0BSD": "0bsd", "BSL-1.0": "boost-1.0", "MIT-0": "mit-0", "MIT": "mit", "LGPL-2.1-only": "lgpl-2.1", "LGPL-3.0": "lgpl-3.0", "AGPL-3.0-or-later": "agpl-3.0",
+            "MPL-2.0": "mpl-2.0", "EPL-2.0": "epl-2.0", "CDDL-1.0": "cddl-1.0", "GFDL-1.3": "gfdl-1.3", "EUPL-1.2": "eupl", "OSL-3.0": "osl-3.0"}
+    texts = [f"SPDX-License-Identifier: {name}" for name in want] + ["released under the PSF license", "the FreeBSD license", "LGPLv3", "covered by the LGPL"]
+    got = {r.id: r.labels for r in licenses.scan(docs_of([*enumerate(texts)])).collect()}
+    assert [got[i] for i in range(len(texts))] == [*want.values(), "python-2.0", "bsd", "lgpl-3.0", "lgpl"]

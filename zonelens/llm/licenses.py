@@ -36,23 +36,29 @@ class Rule:
     anchor: str = " "  # occurs in the normalised text as well, wherever the rule can match
 
 
-# Families: label, keyword, names as they stand in the normalised text (regular expressions).
+# Families: label, keyword, names as they stand in the normalised text (regular expressions).  Every
+# name holds its keyword at the beginning of a word; names without a common keyword have a line each.
 # Three rules come from each: a grant naming the license, an identifier line, a mention.
 FAMILIES = [
     ("mit", "mit", "mit(?: expat| x11)?"),
-    ("mit-0", "attribution", "mit no attribution|mit 0"),
+    ("mit-0", "mit no attribution", "mit no attribution"),
+    ("mit-0", "mit 0", "mit 0"),
     ("isc", "isc", "isc"),
-    ("bsd", "bsd", "(?:new |modified |simplified |revised |free)?bsd(?: style)?"),
+    ("bsd", "bsd", "(?:new |modified |simplified |revised )?bsd(?: style)?"),
+    ("bsd", "freebsd", "freebsd(?: style)?"),
     ("bsd-2-clause", "bsd", "(?:2|two) clause bsd|bsd (?:2|two) clause"),
     ("bsd-3-clause", "bsd", "(?:3|three) clause bsd|bsd (?:3|three) clause"),
     ("bsd-4-clause", "bsd", "(?:4|four) clause bsd|bsd (?:4|four) clause"),
-    ("0bsd", "bsd", "0bsd|zero clause bsd|bsd zero clause"),
+    ("0bsd", "0bsd", "0bsd"),
+    ("0bsd", "bsd", "zero clause bsd|bsd zero clause"),
     ("zlib", "zlib", "zlib(?: libpng)?"),
-    ("boost-1.0", "boost", "boost software(?: version)?|bsl 1 0"),
+    ("boost-1.0", "boost", "boost software(?: version)?"),
+    ("boost-1.0", "bsl 1 0", "bsl 1 0"),
     ("unlicense", "unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl"),
     ("postgresql", "postgresql", "postgresql"),
-    ("python-2.0", "python", "python software foundation|psf"),
+    ("python-2.0", "python", "python software foundation"),
+    ("python-2.0", "psf", "psf"),
     ("artistic-1.0", "artistic", "artistic(?: version)? 1 0"),
     ("artistic-2.0", "artistic", "artistic(?: version)? 2 0"),
     ("ms-pl", "microsoft", "microsoft public"),
@@ -84,6 +90,22 @@ FAMILIES = [
     ("ecl-2.0", "educational", "educational community"),
     ("afl-3.0", "academic free", "academic free"),
     ("osl-3.0", "open software", "open software"),
+    # SPDX short names of the families above
+    ("ms-pl", "ms pl", "ms pl"),
+    ("ms-rl", "ms rl", "ms rl"),
+    ("ofl-1.1", "ofl", "ofl 1 1"),
+    ("odc-by", "odc by", "odc by"),
+    ("odbl", "odbl", "odbl"),
+    ("pddl", "pddl", "pddl"),
+    ("zpl-2.1", "zpl", "zpl 2 1"),
+    ("eupl", "eupl", "eupl"),
+    ("sspl", "sspl", "sspl"),
+    ("bsl-1.1", "busl", "busl 1 1"),
+    ("ibm-public", "ipl", "ipl 1 0"),
+    ("upl-1.0", "upl", "upl 1 0"),
+    ("ecl-2.0", "ecl", "ecl 2 0"),
+    ("afl-3.0", "afl", "afl 3 0"),
+    ("osl-3.0", "osl", "osl 3 0"),
 ]
 # Families with versions: label, keyword, name, versions as spoken
 VERSIONED = [
@@ -100,7 +122,19 @@ VERSIONED = [
     ("cpl", "common public", "common public", ("1 0",)),
     ("apsl", "apple", "apple public source", ("1 0", "2 0")),
     ("lppl", "latex", "latex project public", ("1 2", "1 3")),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl", ("2", "2 1", "3", "2 0", "3 0")),
+    ("agpl", "agpl", "(?:gnu )?agpl", ("1", "3", "1 0", "3 0")),
+    ("gfdl", "gfdl", "gfdl", ("1 1", "1 2", "1 3")),
+    ("gfdl", "gnu fdl", "gnu fdl", ("1 1", "1 2", "1 3")),
+    ("mpl", "mpl", "mpl", ("1 0", "1 1", "2 0")),
+    ("epl", "epl", "epl", ("1 0", "2 0")),
+    ("cddl", "cddl", "cddl", ("1 0", "1 1")),
+    ("cpl", "cpl", "cpl", ("1 0",)),
+    ("apsl", "apsl", "apsl", ("1 0", "2 0")),
+    ("lppl", "lppl", "lppl", ("1 2", "1 3", "1 3c")),
 ]
+# Short names that mean nothing else: a mention needs no "license" behind them
+ALONE = ("gpl", "lgpl", "agpl", "gfdl", "gnu fdl", "cddl", "lppl", "apsl")
 CC_KINDS = {"by": "attribution", "by-sa": "attribution share ?alike", "by-nd": "attribution no ?deriv(?:ative)?s?",
             "by-nc": "attribution non ?commercial", "by-nc-sa": "attribution non ?commercial share ?alike",
             "by-nc-nd": "attribution non ?commercial no ?deriv(?:ative)?s?"}
@@ -134,7 +168,7 @@ def rules() -> list[Rule]:
                 Rule(label, key, f"(?:spdx )?{lic} identifier (?:{name})", 3, 1.0, " identifier "),
                 Rule(label, key, f"(?:{name}) {lic}", 2, 0.8, " licen")]
     for label, key, name, versions in VERSIONED:
-        out.append(Rule(label, key, f"(?:{name}) {lic}" if name != "gnu gpl|gpl" else name, 2, 0.7))
+        out.append(Rule(label, key, f"(?:{name}) {lic}" if key not in ALONE else name, 2, 0.7))
         for v in versions:
             full = f"{label}-{v.replace(' ', '.') if ' ' in v else v + '.0'}"
             out.append(Rule(full, key, f"(?:{name})(?: {lic})?(?: version| v)? ?v?{v}(?: or (?:any )?later)?", 3, 0.95))
