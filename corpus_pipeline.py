@@ -17,8 +17,8 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Operator 7: cross-site boilerplate lines go, every document stays."""
-    return linededup.strip_boilerplate(docs).select(*docs.columns)
+    """Operator 7: cross-site boilerplate lines go, those of one to three words too, every document stays."""
+    return linededup.strip_boilerplate(docs, min_words=1).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):

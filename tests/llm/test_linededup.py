@@ -69,3 +69,11 @@ def test_edge_cases(docs_of):
     assert linededup.strip_boilerplate(docs.limit(0)).count() == 0
     again = linededup.strip_boilerplate(out, min_sites=3)
     assert again.columns == out.columns
+
+
+def test_the_pipeline_judges_short_lines(spark, docs_of):
+    import corpus_pipeline
+
+    rows = [(i, f"body {i} has words of its own\nAll rights reserved.", f"s{i}") for i in range(12)] + [(20 + i, f"another text number {i}\nMenu", f"s{i}") for i in range(9)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs_of(rows), None).collect()}
+    assert all(got[i] == f"body {i} has words of its own" for i in range(12)) and all(got[i] == t for i, t, _ in rows[12:])
