@@ -1,0 +1,106 @@
+"""Hash-prefix forest: recall against brute force, exact scores and order, edge cases."""
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from zonelens.llm import forest
+from zonelens.llm.common import read
+
+from .conftest import SF
+
+
+def cosine(a, b):
+    a, b = (forest.scaled(np.array([v], np.float64))[0] for v in (a, b))
+    return float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())))
+
+
+def brute(rows, queries, k=5):
+    """{query: [(id, cosine)]} over all (id, vector) rows."""
+    ids = np.array([i for i, _ in rows])
+    u = np.array([v for _, v in rows], np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    out = {}
+    for q in queries:
+        s = u @ u[list(ids).index(q)]
+        s[ids == q] = -9
+        out[q] = [(int(ids[j]), s[j]) for j in np.lexsort((ids, -s))[:k]]
+    return out
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.1"])
+def test_recall_of_the_query(spark, sf):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, sf, "embeddings").collect()]
+    want = brute(rows, [i for i, _ in rows if i % 50 == 0])
+    got = entry.queries()["op13_forest"](spark, sf)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    by, vec = {}, dict(rows)
+    for r in sorted(got.collect()):
+        by.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        assert r.score == pytest.approx(cosine(vec[r.query_id], vec[r.vec_id]), abs=1e-15)
+    assert set(by) == set(want) and all([k for k, _ in v] == [1, 2, 3, 4, 5] for v in by.values())
+    hits = sum(len({i for _, i in by[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * 5 * len(want)
+
+
+def test_blocks_take_few_candidates_of_clustered_rows():
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((400, 32))
+    x = centres[rng.integers(0, 400, 8000)] + 0.05 * rng.standard_normal((8000, 32))
+    sample = [(i, list(v)) for i, v in enumerate(x)]
+    share = forest.fitted_share(sample, 5)
+    assert share <= 1 / 4
+    f = forest.Forest(list(range(8000)), x, forest.planes(32))
+    codes = forest.strings(f.unit[:50], forest.planes(32))
+    start, stop = f.ascend(codes, forest.wanted(share, 8000))
+    assert (stop - start).sum(0).max() < 0.5 * 8000 and (stop - start).sum(0).min() >= forest.LEAST
+
+
+def test_prefixes_and_ranges():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 8))
+    normals = forest.planes(8, trees=3, bits=16)
+    f = forest.Forest(list(range(300)), x, normals, bits=16)
+    q = forest.strings(rng.standard_normal((20, 8)), normals, bits=16)
+    codes = forest.strings(f.unit, normals, bits=16)
+    shared = lambda a, b: 16 - int(a ^ b).bit_length()
+    depth = f.descend(q)
+    for t in range(3):
+        for i in range(20):
+            assert depth[t, i] == max(shared(c, q[t, i]) for c in codes[t])
+    for level in (0, 1, 5, 16):
+        lo, hi = f.ranges(q, level)
+        for t in range(3):
+            for i in range(20):
+                assert sorted(f.order[t, lo[t, i]:hi[t, i]]) == [j for j, c in enumerate(codes[t]) if shared(c, q[t, i]) >= level]
+    start, stop = f.ascend(q, 40)
+    assert ((stop - start).sum(0) >= 40).all()
+
+
+def test_edge_cases(spark):
+    rng = np.random.default_rng(8)
+    vec = lambda d=6: [float(c) for c in rng.standard_normal(d)]
+    same, huge, tiny = vec(), [1e300, -2e300, 0.0, 1e299, 5e300, 0.0], [1e-300, 2e-300, 0.0, 0.0, 1e-301, 0.0]
+    rows = [(1, None), (2, []), (3, [0.0] * 6), (4, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (5, [float("nan")] * 6), (6, [float("inf")] + [0.0] * 5),
+            (None, vec()), (100, vec(3)), (101, vec(3)), (200, vec(2)), (300, same), *[(i, same) for i in range(301, 700)], (7, same), (7, same), (7, same),
+            (20000, huge), (20050, tiny), (50, vec()), (50, vec()), *[(i, vec()) for i in range(1000, 1040)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("other") for c in ("x", "h", "rank", "score", "form")})
+    out = {}
+    for r in sorted(forest.search(df, df.filter("vec_id % 50 = 0")).collect()):
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(out) == {50, 100, 300, 350, 400, 450, 500, 550, 600, 650, 1000, 20000, 20050}
+    assert [r[:2] for r in out[100]] == [(1, 101)] and 200 not in out
+    assert [r[1] for r in out[300]] == [7, 301, 302, 303, 304] and {r[2] for r in out[300]} == {out[300][0][2]}
+    assert [r[0] for r in out[50]] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert all(len(v) == 5 and all(-1 <= s <= 1.0000001 for *_, s in v) for q, v in out.items() if q not in (50, 100))
+    assert forest.search(df.limit(0), df.limit(0)).collect() == []
+    assert forest.search(df, df.limit(0)).collect() == []
+
+
+def test_more_queries_than_a_block_of_them(spark, monkeypatch):
+    rows = read(spark, SF, "embeddings")
+    whole = sorted(tuple(r) for r in forest.search(rows, rows.filter("vec_id % 50 = 0"), share=forest.TREES).collect())
+    monkeypatch.setattr(forest, "QUERIES", 3)
+    assert sorted(tuple(r) for r in forest.search(rows, rows.filter("vec_id % 50 = 0"), share=forest.TREES).collect()) == whole
+    want = brute([(r.vec_id, r.embedding) for r in rows.collect()], [r[0] for r in whole[::5]])
+    assert [(q, i) for q, _, i, _ in whole] == [(q, i) for q in sorted(want) for i, _ in want[q]]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonelens.session import staging_path
 
-from . import decontam, licenses, linededup, mixing, quality, simhash, spans, tokencount, toxicity, urls
+from . import centroids, decontam, forest, licenses, linededup, mixing, quality, simhash, spans, spelling, tokencount, toxicity, urls
 from .common import read
 from .oracles import ORACLES
 
@@ -62,9 +62,22 @@ def op10_decontamination(spark, sf_dir):
     return rows.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "distance", "first_word", "end_word")
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))[0].withColumnRenamed("id", "vec_id")
+
+
+def op13_forest(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    return forest.search(rows, rows.filter("vec_id % 50 = 0"))
+
+
 def queries():
     own = (op1_simhash, op2_toxicity, op3_mixing, op4_licenses, op5_quality, op6_urls, op7_line_dedup, op8_token_counts,
-           op9_span_dedup, op10_decontamination)
+           op9_span_dedup, op10_decontamination, op11_spelling, op12_centroids, op13_forest)
     return {**{f.__name__: f for f in own}, "pipeline": corpus_pipeline.run}
 
 
