@@ -4,7 +4,7 @@ The trie is path-compressed: its nodes are the prefixes at which words part or e
 carries the letters between two of them.  A state (word, position, node, edits) starts at the
 top for every word.  A level joins the states with the edges of their nodes: a state without an
 edit follows its own word's edge, and at a node also parts from it, by another edge's first
-letter (replaced) or by its own next letter left out (deleted); a state with an edit follows
+letter (replaced) or by leaving out its own next letter (deleted); a state with an edit follows
 the one edge that spells the rest of its edited word.  Words part at nodes only, so no edit is
 missed between them.  A state with one edit that ends at a word's end has found a neighbour.  Insertions
 are the other word's deletions, and of two replaced letters the smaller one's word finds the
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.session import staging_path
@@ -96,10 +96,11 @@ def _length_bit(rest: str) -> str:
 
 
 def trie(words: DataFrame, top: int) -> tuple[DataFrame, str]:
-    """((key, back, node): where each word starts; path of the nodes (depth, node, ends, kids), a folder a depth).
+    """((key, back, word, node): where each word starts; path of the edges (depth, node, label, kid, lengths,
+    letters), a folder a depth).
 
-    ``ends``: a word ends at the node.  ``kids``: its edges (label, node, lengths, letters); lengths and
-    letters are bit sets of what is left of the words below the edge."""
+    An edge without label and kid stands for a word that ends at the node.  Lengths and letters are bit sets of what
+    is left of the words below the edge: how many letters, and the next one."""
     spark = words.sparkSession
     every = stored(prefixes(words, top), "spelling-prefixes")
     parted = every.groupBy("node").agg(F.min("letter").alias("a"), F.max("letter").alias("b"), F.min("pos").alias("pos"))
@@ -111,43 +112,39 @@ def trie(words: DataFrame, top: int) -> tuple[DataFrame, str]:
 
     step = path.select(F.expr("if(back, reverse(word), word)").alias("text"), "path", F.posexplode("path").alias("depth", "at"))
     step = step.withColumn("to", F.get("path", F.col("depth") + 1)).withColumn("rest", F.expr("length(text) - coalesce(to.pos, at.pos)"))
-    step = step.select("depth", F.col("at.node").alias("node"), F.col("to").isNull().alias("ends"), F.col("to.node").alias("kid"),
-                       F.expr("if(to is null, null, substring(text, at.pos + 1, to.pos - at.pos))").alias("label"),
+    step = step.select("depth", F.col("at.node").alias("node"), F.col("to.node").alias("kid"),
+                       F.expr("if(to is null, '', substring(text, at.pos + 1, to.pos - at.pos))").alias("label"),
                        F.expr(_length_bit("rest")).alias("lengths"),
                        F.expr(f"if(rest = 0, 0L, {_bit('substring(text, coalesce(to.pos, at.pos) + 1, 1)')})").alias("letters"))
-    edges = step.groupBy("depth", "node", "ends", "kid", "label").agg(F.bit_or("lengths").alias("lengths"), F.bit_or("letters").alias("letters"))
-    # an alphabet bounds the edges of a node
-    kid = F.struct("label", F.col("kid").alias("node"), "lengths", "letters")
-    nodes = edges.groupBy("depth", "node").agg(F.max("ends").alias("ends"), F.collect_list(F.when(~F.col("ends"), kid)).alias("kids"))
+    edges = step.groupBy("depth", "node", "kid", "label").agg(F.bit_or("lengths").alias("lengths"), F.bit_or("letters").alias("letters"))
     at = staging_path(spark, "spelling-trie")
-    nodes.write.partitionBy("depth").parquet(at)
+    edges.write.partitionBy("depth").parquet(at)
     return start, at
 
 
-def level(spark: SparkSession, states: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The states after one more edge: (key, back, text, pos, node, edits, least), and those that have
-    found a neighbour, with ``node`` null.  ``text`` is the edited word once ``edits`` is 1; ``least`` is the first
-    position at which the word may be edited."""
-    s = states.join(nodes.select("node", "ends", "kids"), "node")
-    here, after = "substring(text, pos + 1, 1)", "substring(text, pos + 2, 1)"
-    less = "concat(substring(text, 1, pos), substring(text, pos + 2, length(text)))"
-    ways = s.select("key", "back", "pos", "ends", "kids", "least", F.expr(f"""
-        if(edits = 1, array(named_struct('text', text, 'edits', 1)), concat(
-            array(named_struct('text', text, 'edits', 0)),
-            if(pos >= least and {after} <> {here}, array(named_struct('text', {less}, 'edits', 1)), array()),
-            if(pos >= least, transform(filter(kids, k -> substring(k.label, 1, 1) > {here}),
-                k -> named_struct('text', concat(substring(text, 1, pos), substring(k.label, 1, 1), substring(text, pos + 2, length(text))),
-                                  'edits', 1)), array())))""").alias("ways"))
-    # of every way, the edges that spell it; a way whose text ends at the node itself needs none
-    rest = "length(w.text) - pos - length(k.label)"
-    goes = f"""substring(w.text, pos + 1, length(k.label)) = k.label and {rest} >= 0
-        and ({_length_bit(rest)} & k.lengths) <> 0
-        and if({rest} = 0, w.edits = 1, ({_bit('substring(w.text, pos + length(k.label) + 1, 1)')} & k.letters) <> 0)"""
-    onward = f"""flatten(transform(ways, w -> transform(filter(kids, k -> {goes}),
-        k -> named_struct('text', w.text, 'pos', pos + length(k.label), 'node', if({rest} = 0, null, k.node), 'edits', w.edits))))"""
-    ended = """transform(filter(ways, w -> w.edits = 1 and ends and length(w.text) = pos),
-        w -> named_struct('text', w.text, 'pos', pos, 'node', cast(null as bigint), 'edits', w.edits))"""
-    return ways.select("key", "back", "least", F.expr(f"inline(concat({onward}, {ended}))"))
+def level(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """The states after one more edge: (key, back, least, text, pos, node, edits), and those that have found a
+    neighbour, with ``node`` null.  ``text`` is the edited word once ``edits`` is 1; ``least`` is the first
+    position at which the word may be edited.
+
+    An alphabet bounds the edges of a node.  A state without an edit takes each of them in up to two ways: by its
+    own or a larger first letter, and by the letter after its own, which is left out (``out``)."""
+    s = states.withColumns({"here": F.expr("substring(text, pos + 1, 1)"), "after": F.expr("if(edits = 0 and pos >= least, substring(text, pos + 2, 1), null)")})
+    e = edges.select("node", "label", "kid", "lengths", "letters", F.expr("substring(label, 1, 1)").alias("first"), F.length("label").alias("size"))
+    kept = F.expr("(size > 0 and first = here) or (after is not null and (first > here or (first = after and after <> here)))")
+    met = s.join(e, (s["node"] == e["node"]) & kept).drop(s["node"]).drop(e["node"])
+    way = met.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("out"))
+    way = way.filter(F.expr("""if(out = 1, after is not null and first = after and after <> here,
+        size > 0 and (first = here or (after is not null and first > here)))"""))
+    way = way.withColumn("rest", F.expr("length(text) - pos - size - out"))
+    spelt = F.expr("if(first = here or out = 1, substring(text, pos + 1 + out, size) = label, substring(text, pos + 2, size - 1) = substring(label, 2))")
+    goes = F.expr(f"""rest >= 0 and ({_length_bit('rest')} & lengths) <> 0 and if(rest = 0, edits = 1 or out = 1 or first <> here,
+        ({_bit('substring(text, pos + 1 + out + size, 1)')} & letters) <> 0)""")
+    text = """if(out = 1, concat(substring(text, 1, pos), substring(text, pos + 2)),
+        if(first = here, text, concat(substring(text, 1, pos), first, substring(text, pos + 2))))"""
+    return way.filter(spelt & goes).select("key", "back", "least", F.expr(text).alias("text"), F.expr("pos + size").alias("pos"),
+                                           F.expr("if(rest = 0, null, kid)").alias("node"),
+                                           F.expr("if(out = 1 or first <> here, 1, edits)").alias("edits"))
 
 
 def neighbours(words: DataFrame, min_length: int) -> DataFrame:
@@ -158,10 +155,10 @@ def neighbours(words: DataFrame, min_length: int) -> DataFrame:
     half = F.floor(F.length("word") / 2)
     states = start.select("key", "back", F.expr("if(back, reverse(word), word)").alias("text"), F.lit(top).alias("pos"), "node",
                           F.lit(0).alias("edits"), F.when(F.col("back"), F.length("word") - half).otherwise(half).cast("int").alias("least"))
-    nodes = spark.read.schema("node long, ends boolean, kids array<struct<label: string, node: long, lengths: long, letters: long>>, depth int").parquet(at)
+    edges = spark.read.schema("node long, kid long, label string, lengths long, letters long, depth int").parquet(at)
     ends, depth = [], 0
     while not states.isEmpty():
-        both = stored(level(spark, states, nodes.filter(F.col("depth") == depth)), "spelling-level")
+        both = stored(level(states, edges.filter(F.col("depth") == depth)), "spelling-level")
         ends.append(both.filter("node is null").select("key", F.expr("if(back, reverse(text), text)").alias("text")))
         states, depth = both.filter("node is not null"), depth + 1
     if not ends:
