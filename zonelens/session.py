@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -54,3 +56,9 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def send_by_value(module_name: str) -> None:
+    """A module's Python functions reach the workers by value, so that workers need not have this
+    package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
