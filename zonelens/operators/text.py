@@ -137,6 +137,15 @@ def tfidf_vectors(proc: DataFrame, vocab: DataFrame, *, n_max: int = 2, out: str
     return norm.transform(weighted.transform(cv.transform(df))).select("doc_id", out)
 
 
+def sparse_rows(postings: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, idx, w) of every document: its terms (at most ``max_features``) by index, none for a document without any."""
+    entry = F.sort_array(F.collect_list(F.struct("term_index", "weight")))
+    rows = postings.groupBy("doc_id").agg(entry.alias("e")).withColumnRenamed("doc_id", "id")
+    return (docs.select("doc_id").join(rows, F.col("doc_id") == F.col("id"), "left")
+            .select(F.col("doc_id").alias("id"), F.coalesce(F.transform("e", lambda x: x["term_index"]), F.array().cast("array<int>")).alias("idx"),
+                    F.coalesce(F.transform("e", lambda x: x["weight"]), F.array().cast("array<double>")).alias("w")))
+
+
 def join_metadata(docs: DataFrame, meta: DataFrame, *, key: str = "doc_id", on_duplicate: str = "error") -> DataFrame:
     """Inner join of documents and metadata on the key (documents without metadata and
     metadata without a document are dropped).

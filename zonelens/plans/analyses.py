@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
 from zonelens.operators import drivers as drv
-from zonelens.operators import embed, forecast as fc, neighbours as nb, profile, sample, stats
+from zonelens.operators import embed, forecast as fc, neighbours as nb, profile, sample, sparse, stats
 from zonelens.operators import text as tx, timeseries as ts, zones as zn
 
 
@@ -104,11 +103,9 @@ def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang:
     vectors = tx.tfidf_vectors(proc, vocab)
     emb = embed.randomized_pca(postings, proc.select("doc_id"), vocab.count(), k=components, seed=seed)
     dmap = emb.scores.selectExpr("doc_id", "embedding[0] AS map_x", "embedding[1] AS map_y")
-    dense = vectors.select("doc_id", vector_to_array("tfidf").alias("v"))
-    n = dense.count()
-    k = min(n_neighbors, n - 1)
-    scores = nb.lof(nb.knn(dense, "doc_id", "v", k, n=n), k).withColumnRenamed("id", "doc_id")
-    outliers = nb.flag_outliers(scores, contamination)
+    k = min(n_neighbors, proc.count() - 1)
+    neigh = sparse.sparse_knn(tx.sparse_rows(postings, proc), k, vocab.count())
+    outliers = nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), contamination)
     topics, model = zn.topics(vectors, k=n_topics, seed=seed)
     report = dmap.join(outliers, "doc_id").join(topics, "doc_id")
     if metadata is not None:

@@ -2,10 +2,9 @@
 SQL-checked twins are assign_centroid, silhouette_fixed and regression_metrics)."""
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from zonelens.operators import embed, forecast, neighbours as nb, text as tx, timeseries as ts, zones as zn
+from zonelens.operators import embed, forecast, neighbours as nb, sparse, text as tx, timeseries as ts, zones as zn
 from zonelens.plans import q_readings, q_series, q_text
 from zonelens.plans.config import EVENT_MEASURES, EVENT_SCALE
 from zonelens.plans.registry import register, table
@@ -139,12 +138,10 @@ def doc_map(spark, sf):
 
 def text_lof(spark, sf):
     def fit():
-        _, _, _, vectors = literature(spark, sf)
-        dense = vectors.select("doc_id", vector_to_array("tfidf").alias("v"))
-        n = dense.count()
-        k = min(20, n - 1)
-        scores = nb.lof(nb.knn(dense, "doc_id", "v", k, n=n), k).withColumnRenamed("id", "doc_id")
-        return nb.flag_outliers(scores, 0.1)
+        p, res, vocab, _ = literature(spark, sf)
+        k = min(20, p.count() - 1)
+        neigh = sparse.sparse_knn(tx.sparse_rows(res.postings, p), k, vocab.count())
+        return nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), 0.1)
     return _memo(("text_lof", _app(spark), sf), fit)
 
 
