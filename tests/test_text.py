@@ -94,3 +94,65 @@ def test_documents_keep_their_splits_unless_told(spark):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan(plain) and "RoundRobinPartitioning(3)" in plan(dealt)
     assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_encoded_corpus_is_the_processed_one(spark):
+    docs = q_text.docs(spark, SF)
+    for stem_words in (False, True):
+        want = {r.doc_id: r.text for r in tx.processed(docs, stem_words=stem_words).collect()}
+        enc = tx.encoded(docs, stem_words=stem_words)
+        assert {r.doc_id: r.text for r in tx.decoded(enc).collect()} == want
+        ids = [r.id for r in enc.words.collect()]
+        assert sorted(ids) == list(range(len(ids)))
+
+
+def test_each_distinct_token_is_stemmed_once(spark):
+    docs = spark.createDataFrame([(i, "running dogs running quickly " * 30) for i in range(40)], "doc_id long, text string")
+    table = tx.stem_table(tx.tokenized(docs))
+    assert {r.token: r.stem for r in table.collect()} == {"running": "run", "dogs": "dog", "quickly": "quickli"}
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") > plan.index("Project")  # the distinct comes below the stems
+
+
+def _counted_plainly(rows, n_max, min_df, max_df, max_features):
+    from collections import Counter
+
+    total, df = Counter(), Counter()
+    for words in rows:
+        words = [w for w in words if len(w) >= 2]
+        grams = words + [" ".join(p) for p in zip(words, words[1:])] * (n_max == 2)
+        total.update(grams), df.update(set(grams))
+    kept = [t for t in total if min_df <= df[t] <= max_df * len(rows)]
+    top = sorted(kept, key=lambda t: (-total[t], t))[:max_features]
+    return {t: (df[t], total[t], k) for k, t in enumerate(sorted(top))}
+
+
+@pytest.mark.parametrize("max_features, n_max", [(5, 2), (40, 2), (40, 1), (10_000, 2)])
+def test_sketched_vocabulary_is_exact(spark, max_features, n_max):
+    import random
+
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)] + ["x"]
+    rows = [[words[min(60, int(rng.expovariate(0.08)))] for _ in range(rng.randrange(0, 80))] for _ in range(50)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "doc_id long, words array<string>")
+    res = tx.tfidf(df, min_df=2, max_df=0.8, max_features=max_features, n_max=n_max)
+    got = {r.term: (r.df, r.total, r.term_index) for r in res.vocabulary.collect()}
+    assert got == _counted_plainly(rows, n_max, 2, 0.8, max_features)
+
+
+def test_sketch_drops_most_pairs_before_they_are_counted(spark):
+    enc = tx.encoded(q_text.docs(spark, "/root/testdata/sf0.01"), stem_words=False)
+    pairs = enc.docs.select(F.explode(tx._pairs(F.col("ids"))).alias("g"))
+    every = pairs.distinct().count()
+    passing = tx.passing_buckets(enc.docs, 20)
+    left = pairs.withColumn("bucket", tx._bucket(F.col("g"))).join(passing, "bucket", "left_semi").select("g").distinct().count()
+    heavy = pairs.groupBy("g").count().filter("count >= 20").count()
+    assert heavy <= left < every / 4
+
+
+def test_postings_are_shuffled_once(spark):
+    res = tx.tfidf(tx.encoded(q_text.docs(spark, SF)))
+    plan = res.postings._jdf.queryExecution().optimizedPlan().toString()
+    res.postings.count()
+    final = res.postings._jdf.queryExecution().executedPlan().toString()
+    assert final.count("Exchange hashpartitioning") == 1 and "Window" in plan

@@ -1,21 +1,28 @@
 """Corpus preparation and TF-IDF as Spark jobs.
 
 Per document: cleaning, tokenising, stemming and n-grams are column expressions over the
-token array, so a processed document needs no shuffle and reads its text once.
-
-TF-IDF: term frequencies are one aggregate over (document, term); document frequency
-and corpus count one more over term.  The vocabulary is cut to ``max_features`` terms
-(falling corpus count, ties by term) with an ordered limit, so it is bounded by a
-parameter and is broadcast to weight the postings.  idf = ln((1 + n) / (1 + df)) + 1
+token array (``processed``).  A whole corpus is dictionary-encoded instead (``encode``): its distinct tokens
+are stemmed once each and numbered, and documents become arrays of word numbers, so that
+a gram of one or two words is one long and words are read back at the end only.
+
+Vocabulary: the ``max_features`` grams of largest corpus count (ties by term) among those in enough and
+not too many documents.  Most pairs of words occur once or twice; a sketch finds the few that matter: the
+counts of all pairs are summed by hash into ``SKETCH`` buckets, which bound every pair's count from above, and pairs
+whose bucket is below the count that ``max_features`` single words reach already, or below ``min_df``, are dropped before
+anything is counted exactly.  The result is exact.
+
+TF-IDF: the vocabulary is bounded by a parameter and broadcast to the documents; its postings are shuffled
+once, by document, for counts and norm alike.  idf = ln((1 + n) / (1 + df)) + 1
 (smoothed), rows are scaled to unit L2 length.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonelens.functions import text as T
@@ -44,9 +51,17 @@ def tokenized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.tokens(T.clean_text(F.col("text"))).alias("tokens"))
 
 
+#: Buckets of the sketch of pair counts (the ones that pass are broadcast).
+SKETCH = 1 << 19
+#: Distinct tokens, and characters of them, up to which the dictionary is broadcast (both are counted); beyond, it is joined by a shuffle.
+DICTIONARY_ROWS, DICTIONARY_CHARS = 500_000, 16_000_000
+
+
 def stem_table(tokens: DataFrame, col: str = "tokens") -> DataFrame:
-    """(token, stem) for every distinct token of the corpus."""
-    distinct = tokens.select(F.explode(col).alias("token")).distinct()
+    """(token, stem) for every distinct token of the corpus, each stemmed once."""
+    # a small table is stemmed by as many tasks as a large one: its rows cost time, not space
+    n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = tokens.select(F.explode(col).alias("token")).distinct().repartition(n, "token")
     return distinct.select("token", stems(F.array("token"))[0].alias("stem"))
 
 
@@ -82,6 +97,66 @@ def term_frequencies(terms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("tf"))
 
 
+@dataclass
+class Encoded:
+    """A corpus by numbers, written: documents (row, doc_id, ids: its words in order) and dictionary (id, word)."""
+    docs: DataFrame
+    words: DataFrame
+
+
+def numbered(values: DataFrame, col: str, out: str = "id") -> DataFrame:
+    """The rows of ``values`` numbered from 0 without gaps, written."""
+    from zonelens.operators.zones import checkpointed
+
+    rows = checkpointed(values.withColumn("_m", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_m", 33), F.col("_m").bitwiseAND((1 << 33) - 1)
+    sizes = {r["p"]: r["c"] for r in rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}  # a line a partition
+    before = list(accumulate([0, *(sizes.get(p, 0) for p in range(max(sizes, default=0)))]))
+    return rows.select(col, (F.element_at(F.lit(before), part.cast("int") + 1) + place).alias(out))
+
+
+def encode(tokens: DataFrame, col: str = "tokens", *, stem_words: bool = False, min_chars: int | None = None) -> Encoded:
+    """The documents (doc_id, array of tokens) as numbers of their words: the tokens, or their stems.
+
+    ``min_chars``: documents stay if their words, joined by blanks, have more characters.  Rows of equal
+    doc_id stay rows of their own."""
+    from zonelens.operators.zones import checkpointed
+
+    rows = checkpointed(tokens.select("doc_id", F.col(col).alias("tokens")).withColumn("row", F.monotonically_increasing_id()))
+    if stem_words:
+        table = stem_table(rows).withColumnRenamed("stem", "word")
+    else:
+        table = rows.select(F.explode("tokens").alias("token")).distinct().withColumn("word", F.col("token"))
+    table = checkpointed(table)
+    words = numbered(table.select("word").distinct(), "word")
+    number = table.join(words.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).select("token", "id", F.length("word").alias("size"))
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("token")).alias("chars")).first()
+    if size["n"] <= DICTIONARY_ROWS and (size["chars"] or 0) <= DICTIONARY_CHARS:
+        number = F.broadcast(number)
+    each = rows.select("row", "doc_id", F.posexplode_outer("tokens").alias("pos", "t")).join(number, F.col("t") == F.col("token"), "left")
+    docs = each.groupBy("row", "doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id", "size")))), lambda x: F.struct(x["id"].alias("id"), x["size"].alias("size"))).alias("e"))
+    if min_chars is not None:
+        chars = F.aggregate("e", F.lit(-1), lambda n, x: n + x["size"] + 1)
+        docs = docs.filter(chars > min_chars)
+    # as the vectoriser re-reads the processed text: words of 2+ characters make grams
+    docs = docs.select("row", "doc_id", F.transform("e", lambda x: x["id"]).alias("all_ids"),
+                       F.transform(F.filter("e", lambda x: x["size"] >= 2), lambda x: x["id"]).alias("ids"))
+    return Encoded(checkpointed(docs), words)
+
+
+def encoded(docs: DataFrame, *, stem_words: bool = True, min_chars: int = 200) -> Encoded:
+    """:func:`processed` of a whole corpus, encoded: the same documents and words."""
+    return encode(tokenized(docs), stem_words=stem_words, min_chars=min_chars)
+
+
+def decoded(corpus_: Encoded) -> DataFrame:
+    """(doc_id, text): the words of every document read back and joined by blanks."""
+    each = corpus_.docs.select("row", "doc_id", F.posexplode_outer("all_ids").alias("pos", "id")).join(corpus_.words, "id", "left")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
+    return each.groupBy("row", "doc_id").agg(text.alias("text")).select("doc_id", "text")
+
+
 @dataclass
 class TfidfResult:
     vocabulary: DataFrame  # term, df, total, term_index, idf
@@ -89,52 +164,95 @@ class TfidfResult:
     n_docs: int | None = None
 
 
-def vocabulary(tf: DataFrame, n_docs, *, min_df: int = 3, max_df: float = 0.9,
-               max_features: int = 5000) -> DataFrame:
-    """Terms in at least ``min_df`` documents and in at most ``max_df * n`` of them, the
-    ``max_features`` most frequent in the corpus (ties: term), indexed alphabetically."""
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
-    top = kept.orderBy(F.col("total").desc(), "term").limit(max_features)
+def _singles(ids: Column) -> Column:
+    return F.transform(ids, lambda a: F.shiftleft(a, 31))
+
+
+def _pairs(ids: Column) -> Column:
+    n = F.greatest(F.size(ids) - 1, F.lit(0))
+    return F.zip_with(F.slice(ids, 1, n), F.slice(ids, 2, n), lambda a, b: F.shiftleft(a, 31) + b + 1)
+
+
+def _grams(n_max: int) -> Column:
+    if n_max not in (1, 2):
+        raise ValueError("grams of one or two words only")
+    return _singles(F.col("ids")) if n_max == 1 else F.concat(_singles(F.col("ids")), _pairs(F.col("ids")))
+
+
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(SKETCH)).cast("int")
+
+
+def _counts(docs: DataFrame, grams: Column, passing: DataFrame | None = None) -> DataFrame:
+    """(g, df, total) of the grams, of those in a passing bucket only if such are given."""
+    def each(values):
+        rows = docs.select(F.explode(values).alias("g"))
+        return rows if passing is None else rows.withColumn("bucket", _bucket(F.col("g"))).join(F.broadcast(passing), "bucket", "left_semi")
+
+    total = each(grams).groupBy("g").agg(F.count(F.lit(1)).alias("total"))
+    df = each(F.array_distinct(grams)).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    return df.join(total, "g")
+
+
+def passing_buckets(docs: DataFrame, least: int) -> DataFrame:
+    """The buckets of the sketch whose pairs may reach the count ``least``: at most ``SKETCH`` rows."""
+    pairs = docs.select(F.explode(_pairs(F.col("ids"))).alias("g")).select(_bucket(F.col("g")).alias("bucket"))
+    return pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("bucket")
+
+
+def vocabulary(corpus_: Encoded, *, min_df: int = 3, max_df: float = 0.9, max_features: int = 5000, n_max: int = 2) -> DataFrame:
+    """(g, term, df, total, term_index, idf), written: terms in at least ``min_df`` documents and in at most
+    ``max_df * n`` of them, the ``max_features`` most frequent in the corpus (ties: term), indexed alphabetically."""
+    from zonelens.operators.zones import checkpointed
+
+    _grams(n_max)
+    docs = corpus_.docs
+    n_docs = docs.count()
+    fit = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs)
+    kept = checkpointed(_counts(docs, _singles(F.col("ids"))).filter(fit))
+    if n_max == 2:
+        top = kept.orderBy(F.col("total").desc()).select("total").limit(max_features).agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("least")).first()
+        least = max(min_df, top["least"] if top["n"] == max_features else 0)
+        passing = checkpointed(passing_buckets(docs, least))
+        kept = kept.unionByName(checkpointed(_counts(docs, _pairs(F.col("ids")), passing).filter(fit & (F.col("total") >= least))))
+    first, second = F.shiftright("g", 31), F.col("g").bitwiseAND((1 << 31) - 1) - 1
+    a = corpus_.words.select(F.col("id").alias("ia"), F.col("word").alias("wa"))
+    b = corpus_.words.select(F.col("id").alias("ib"), F.col("word").alias("wb"))
+    named = kept.withColumns({"a": first, "b": second}).join(a, F.col("a") == F.col("ia")).join(b, F.col("b") == F.col("ib"), "left")
+    named = named.select("g", "df", "total", F.concat_ws(" ", "wa", "wb").alias("term"))
     # a window without partitioning is fine here: at most max_features rows
     idx = F.row_number().over(Window.orderBy("term")) - 1
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return top.select("term", "df", "total", idx.cast("int").alias("term_index"), idf.alias("idf"))
+    return checkpointed(named.orderBy(F.col("total").desc(), "term").limit(max_features)
+                        .select("g", "term", "df", "total", idx.cast("int").alias("term_index"), idf.alias("idf")))
 
 
-def tfidf(proc: DataFrame, *, min_df: int = 3, max_df: float = 0.9, max_features: int = 5000,
+def tfidf(proc: DataFrame | Encoded, *, min_df: int = 3, max_df: float = 0.9, max_features: int = 5000,
           n_max: int = 2) -> TfidfResult:
-    """Smoothed TF-IDF postings of the processed documents (long form).
-
-    The processed corpus feeds both the document count and the term frequencies, so it
-    is checkpointed once (eagerly) instead of being recomputed per branch."""
-    from zonelens.operators.zones import checkpointed
-
-    proc = checkpointed(proc.select("doc_id", "words"))
-    tf = term_frequencies(doc_terms(proc, n_max))
-    n_docs = proc.agg(F.count(F.lit(1))).scalar()
-    vocab = vocabulary(tf, n_docs, min_df=min_df, max_df=max_df, max_features=max_features)
-    w = F.col("tf") * F.col("idf")
-    postings = (tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")
-                .withColumn("w", w))
+    """Smoothed TF-IDF postings (long form) of an encoded corpus, or of processed documents (doc_id, words)."""
+    corpus_ = proc if isinstance(proc, Encoded) else encode(proc, "words")
+    vocab = vocabulary(corpus_, min_df=min_df, max_df=max_df, max_features=max_features, n_max=n_max)
+    each = corpus_.docs.select("doc_id", F.explode(_grams(n_max)).alias("g")).join(F.broadcast(vocab.select("g", "term", "term_index", "idf")), "g")
+    # one shuffle, by document: counts and norm both keep to it
+    tf = each.repartition("doc_id").groupBy("doc_id", "term", "term_index", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    tf = tf.withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-    postings = postings.select("doc_id", "term", "term_index", "tf", (F.col("w") / norm).alias("weight"))
-    return TfidfResult(vocab, postings)
+    return TfidfResult(vocab.drop("g"), tf.select("doc_id", "term", "term_index", "tf", (F.col("w") / norm).alias("weight")))
 
 
-def tfidf_vectors(proc: DataFrame, vocab: DataFrame, *, n_max: int = 2, out: str = "tfidf") -> DataFrame:
-    """(doc_id, tfidf SparseVector): the same weights as :func:`tfidf`, as ML vectors.
+def tfidf_vectors(postings: DataFrame, docs: DataFrame, vocab: DataFrame, *, out: str = "tfidf") -> DataFrame:
+    """(doc_id, tfidf SparseVector): the weights of :func:`tfidf` as ML vectors, for every document of ``docs``.
 
-    Only the vocabulary and its idf (bounded by ``max_features``) reach the driver; the
-    count, weighting and normalising run JVM-side in Spark ML transformers."""
-    rows = vocab.select("term", "idf").orderBy("term_index").collect()
-    terms = [r["term"] for r in rows]
-    idf = Vectors.dense([float(r["idf"]) for r in rows])
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_tf")
-    weighted = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_w")
+    Only the idf (bounded by ``max_features``) reaches the driver; counts become vectors in
+    Spark ML transformers, JVM-side."""
+    idf = [float(r["idf"]) for r in vocab.select("idf").orderBy("term_index").collect()]
+    times = F.flatten(F.collect_list(F.array_repeat(F.col("term_index").cast("string"), F.col("tf").cast("int"))))
+    terms = postings.groupBy(F.col("doc_id").alias("d")).agg(times.alias("terms"))
+    terms = docs.select("doc_id").join(terms, F.col("doc_id") == F.col("d"), "left").select("doc_id", F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))
+    cv = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(idf))], inputCol="terms", outputCol="_tf")
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_w")
     norm = Normalizer(p=2.0, inputCol="_w", outputCol=out)
-    df = doc_terms(proc, n_max)
-    return norm.transform(weighted.transform(cv.transform(df))).select("doc_id", out)
+    return norm.transform(weighted.transform(cv.transform(terms))).select("doc_id", out)
 
 
 def sparse_rows(postings: DataFrame, docs: DataFrame) -> DataFrame:

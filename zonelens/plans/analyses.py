@@ -96,11 +96,12 @@ def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang:
     docs = tx.corpus(documents, lang=lang, partitions=partitions)
     if metadata is not None:  # the corpus is the documents that have metadata
         docs = docs.join(metadata.select("doc_id").distinct(), "doc_id")
-    proc = zn.checkpointed(tx.processed(docs), "doc_id")
-    res = tx.tfidf(proc, min_df=min_df, max_df=max_df, max_features=max_features)
-    vocab = zn.checkpointed(res.vocabulary)
+    enc = tx.encoded(docs)
+    proc = enc.docs.select("doc_id")
+    res = tx.tfidf(enc, min_df=min_df, max_df=max_df, max_features=max_features)
+    vocab = res.vocabulary
     postings = zn.checkpointed(res.postings)
-    vectors = tx.tfidf_vectors(proc, vocab)
+    vectors = tx.tfidf_vectors(postings, proc, vocab)
     emb = embed.randomized_pca(postings, proc.select("doc_id"), vocab.count(), k=components, seed=seed)
     dmap = emb.scores.selectExpr("doc_id", "embedding[0] AS map_x", "embedding[1] AS map_y")
     k = min(n_neighbors, proc.count() - 1)

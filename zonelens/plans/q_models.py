@@ -78,13 +78,12 @@ def feature_importance(spark, sf):
 
 def literature(spark, sf):
     def build():
-        p = q_text.proc(spark, sf)
-        p = zn.checkpointed(p, "doc_id")
-        res = tx.tfidf(p)
-        vocab = zn.checkpointed(res.vocabulary)
+        enc = q_text.enc(spark, sf)
+        p = enc.docs.select("doc_id")
+        res = tx.tfidf(enc)
         res.postings = zn.checkpointed(res.postings)
-        vectors = tx.tfidf_vectors(p, vocab)
-        return p, res, vocab, vectors
+        vectors = tx.tfidf_vectors(res.postings, p, res.vocabulary)
+        return p, res, res.vocabulary, vectors
     return _memo(("literature", _app(spark), sf), build)
 
 

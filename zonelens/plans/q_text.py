@@ -22,8 +22,8 @@ def docs(spark, sf):
     return tx.corpus(table(spark, sf, "documents"), partitions=text_partitions(spark))
 
 
-def proc(spark, sf, stem_words=True):
-    return tx.processed(docs(spark, sf), stem_words=stem_words)
+def enc(spark, sf, stem_words=True):
+    return tx.encoded(docs(spark, sf), stem_words=stem_words)
 
 
 def _g(x: str, pattern: str, repl: str = "") -> str:
@@ -65,7 +65,14 @@ def text_stems(spark, sf):
 @register("clean_corpus")
 def clean_corpus(spark, sf):
     """B16 + G18: processed (stemmed) documents longer than 200 characters."""
-    return proc(spark, sf).select("doc_id", "text")
+    return tx.decoded(enc(spark, sf))
+
+
+@register("clean_corpus_unstemmed", f"""WITH {TOKENS_SQL}
+SELECT doc_id, array_to_string(toks, ' ') AS text FROM tok WHERE length(trim(array_to_string(toks, ' '))) > 200""")
+def clean_corpus_unstemmed(spark, sf):
+    """B16 + G18 with the SQL oracle: processed, unstemmed documents longer than 200 characters, encoded and read back."""
+    return tx.decoded(enc(spark, sf, stem_words=False))
 
 
 BIGRAMS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
@@ -97,7 +104,7 @@ vocab AS (SELECT term, df, total, CAST(row_number() OVER (ORDER BY term) - 1 AS
 def vocabulary_unstemmed(spark, sf):
     """D11 with the SQL oracle: vocabulary (min_df 3, max_df 0.9, top 5000) of the
     unstemmed processed documents (DuckDB has no offline stemmer)."""
-    return tx.tfidf(proc(spark, sf, stem_words=False)).vocabulary
+    return tx.tfidf(enc(spark, sf, stem_words=False)).vocabulary
 
 
 @register("tfidf_unstemmed", VOCAB_SQL + f""",
@@ -106,19 +113,19 @@ SELECT doc_id, term, term_index, tf, {r6('w / sqrt(sum(w * w) OVER (PARTITION BY
 def tfidf_unstemmed(spark, sf):
     """H19 with the SQL oracle: smoothed, L2-normalised TF-IDF postings of the unstemmed
     processed documents, 1- and 2-grams."""
-    return tx.tfidf(proc(spark, sf, stem_words=False)).postings
+    return tx.tfidf(enc(spark, sf, stem_words=False)).postings
 
 
 @register("vocabulary")
 def vocabulary(spark, sf):
     """Vocabulary of the stemmed corpus, as in the original analysis."""
-    return tx.tfidf(proc(spark, sf)).vocabulary
+    return tx.tfidf(enc(spark, sf)).vocabulary
 
 
 @register("tfidf")
 def tfidf(spark, sf):
     """TF-IDF postings of the stemmed corpus, as in the original analysis."""
-    return tx.tfidf(proc(spark, sf)).postings
+    return tx.tfidf(enc(spark, sf)).postings
 
 
 META_SQL = "SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id)"
