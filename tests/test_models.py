@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 
-from zonelens.operators import drivers, zones
+from zonelens.operators import drivers, embed, zones
 
 
 def test_silhouette_chooses_planted_k(spark):
@@ -41,3 +41,19 @@ def test_pca_matches_spark_ml(spark):
         assert abs(np.dot(pc[:, j], ours.components[:, j])) == pytest.approx(1.0, abs=1e-6)
     g = ours.components.T @ ours.components
     assert g == pytest.approx(np.eye(4), abs=1e-9)
+
+
+def test_sparse_pca_matches_a_local_svd_and_moves_no_posting(spark):
+    rng = np.random.default_rng(4)
+    x = (rng.random((90, 5)) @ rng.random((5, 40))) * (rng.random((90, 40)) < 0.4)
+    x[7] = 0
+    rows = [(i, [int(t) for t in np.flatnonzero(r)], [float(v) for v in r[r > 0]]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, idx array<int>, w array<double>").repartition(3)
+    res = embed.randomized_pca(df, 40, k=6, oversample=20, iters=8)
+    c = x - x.mean(0)
+    u, s, vt = np.linalg.svd(c, full_matrices=False)
+    assert list(res.explained_variance_ratio) == pytest.approx(list((s ** 2 / (s ** 2).sum())[:6]), rel=1e-6)
+    assert np.abs(np.diag(vt[:6] @ res.components)) == pytest.approx(np.ones(6), abs=1e-6)
+    got = np.array([r.embedding for r in res.scores.orderBy("doc_id").collect()])
+    assert got == pytest.approx(c @ res.components, abs=1e-9)
+    assert "Exchange" not in res.scores._jdf.queryExecution().executedPlan().toString()

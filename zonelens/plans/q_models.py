@@ -111,8 +111,7 @@ def topic_terms(spark, sf):
 def embed_result(spark, sf):
     def fit():
         p, res, vocab, _ = literature(spark, sf)
-        n_features = vocab.count()
-        return embed.randomized_pca(res.postings, p.select("doc_id"), n_features, k=50, seed=42)
+        return embed.randomized_pca(tx.sparse_rows(res.postings, p), vocab.count(), k=50, seed=42)
     return _memo(("embed", _app(spark), sf), fit)
 
 
