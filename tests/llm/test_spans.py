@@ -95,3 +95,55 @@ def test_extension_keeps_one_copy_of_repeats(docs_of):
     text = "word " * 300
     got = {r.doc_id: r for r in spans.dedup_spans(docs_of([(1, text), (2, text), (2, text), (3, None)]), extend=True).collect()}
     assert 0 < got[1].words_removed < 300 and got[2].words_removed == 300 and got[3].words_removed == 0
+
+
+def test_extension_on_documents_matches_brute_force(spark):
+    """With ``extend``: the sentences of the brute force, and the words beside each stretch that equal those beside the first place."""
+    docs = read(spark, SF, "documents")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    first, hits, cut = {}, {}, {}
+    for i, text in sorted(rows.items()):
+        cut[i] = spans.sentences(text)
+        forms = [" ".join(text[a:b].lower().split()) for a, b, _ in cut[i]]
+        for k in range(len(forms)):
+            n = 2
+            while k + n <= len(forms) and sum(c[2] for c in cut[i][k:k + n]) < spans.MIN_WORDS:
+                n += 1
+            if k + n <= len(forms) and (at := first.setdefault(tuple(forms[k:k + n]), (i, k))) != (i, k):
+                hits.setdefault(i, []).append((k, n, *at))
+    limit = spans.MIN_WORDS + 2 * spans.MAX_UNIT
+    for r in spans.dedup_spans(docs, extend=True).collect():
+        text, own = rows[r.doc_id], cut[r.doc_id]
+        gone = {x for k, n, *_ in hits.get(r.doc_id, ()) for x in range(k, k + n)}
+        every = [(w.start(), w.end()) for w in spans.PLAIN.finditer(text)]
+        inside = {w for w in range(len(every)) if any(own[k][0] <= every[w][0] < own[k][1] for k in gone)}
+        more = set()
+
+        def word_at(parts, words, unit):
+            return next((j for j, w in enumerate(words) if unit < len(parts) and w[0] == parts[unit][0]), len(words))
+
+        for k, n, fi, fk in hits.get(r.doc_id, ()):
+            there = [(w.start(), w.end()) for w in spans.PLAIN.finditer(rows[fi])]
+            for unit, funit, step in ((k, fk, -1), (k + n, fk + n, 1)):
+                if (unit - 1 if step < 0 else unit) in gone:
+                    continue
+                a, b = word_at(own, every, unit), word_at(cut[fi], there, funit)
+                a, b = (a - 1, b - 1) if step < 0 else (a, b)
+                for _ in range(limit):
+                    if not (0 <= a < len(every) and 0 <= b < len(there)) or text[slice(*every[a])].lower() != rows[fi][slice(*there[b])].lower():
+                        break
+                    more.add(a)
+                    a, b = a + step, b + step
+        more -= inside
+        assert (r.n_removed, r.words_removed) == (len(gone), len(inside) + len(more))
+        assert r.text.split() == [text[a:b] for w, (a, b) in enumerate(every) if w not in inside and w not in more]
+
+
+def test_clashing_names_keep_their_values(spark):
+    names = "_cut _key key row doc text2 a b at n h lost sides count id stretch N_Removed".split()
+    text = "One two three four five six seven eight nine ten. " * 4
+    df = spark.createDataFrame([(i, text, *(f"{c}{i}" for c in names)) for i in (1, 2)], ["doc_id", "text", *names])
+    for extend in (False, True):
+        out = spans.dedup_spans(df, extend=extend)
+        assert out.columns == ["doc_id", "text", *names[:-1], "n_sentences", "n_removed", "words_removed"]
+        assert all(r[c] == f"{c}{r.doc_id}" for r in out.collect() for c in names[:-1])

@@ -22,19 +22,23 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_key, ship, small, stored
+from .common import packed, row_key, ship, small, stored
 
 MIN_WORDS = 20
 MAX_UNIT = 15
 #: First places whose words are sent to all tasks (counted); more are joined by a shuffle.
 SENT_ROWS = 20_000
+#: Texts that a task returns at a time.
+OUT_ROWS = 1000
+BLANKS = " \t\n\v\f\r"
 # Scripts written without blanks: Thai to Tibetan, Burmese, Khmer, kana, Han
 UNSPACED = "฀-࿿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U000323AF"
 SENTENCE = re.compile(r"[^\n]*?[.!?。！？｡](?:(?=\s)|(?<=[。！？｡]))|[^\n]+")
@@ -82,26 +86,35 @@ def cuts(text: str | None, max_unit: int):
             yield m, words, [0, *breaks(words, max_unit), len(words)]
 
 
-def units(text: str | None, max_unit: int = MAX_UNIT) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """The words of a text as character offsets, and its sentences or pieces as offsets in that list."""
-    words, out = [], []
-    word = PLAIN if has_blanks(text or "") else WORD
-    for m, _, at in cuts(text, max_unit):
-        out += [(len(words) + a, len(words) + b) for a, b in pairwise(at)]
-        words += [w.span() for w in word.finditer(text, m.start(), m.end())]
-    return words, out
-
-
 def sentences(text: str | None, max_unit: int = MAX_UNIT) -> list[tuple[int, int, int]]:
     """(start, stop, words) of the sentences or pieces of a text in order, as character offsets;
     those without a word are left out."""
-    words, cut = units(text, max_unit)
-    return [(words[a][0], words[b - 1][1], b - a) for a, b in cut]
+    out = []
+    word = PLAIN if has_blanks(text or "") else WORD
+    for m, words, at in cuts(text, max_unit):
+        if len(at) == 2:
+            whole = m.group()
+            out.append((m.end() - len(whole.lstrip(BLANKS)), m.start() + len(whole.rstrip(BLANKS)), len(words)))
+        else:
+            where = [w.span() for w in word.finditer(text, m.start(), m.end())]
+            out += [(where[a][0], where[b - 1][1], b - a) for a, b in pairwise(at)]
+    return out
+
+
+def beside_words(text: str, parts: list[tuple[int, int, int]], unit: int, after: bool, limit: int) -> list[tuple[int, int]]:
+    """Up to ``limit`` words from piece ``unit`` on, or before it (the nearest first), as character offsets."""
+    word, out = PLAIN if has_blanks(text) else WORD, []
+    for k in range(unit, len(parts)) if after else range(min(unit, len(parts)) - 1, -1, -1):
+        own = [w.span() for w in word.finditer(text, *parts[k][:2])]
+        out += own if after else own[::-1]
+        if len(out) >= limit:
+            break
+    return out[:limit]
 
 
-def spans(text: str | None, min_words: int = MIN_WORDS, max_unit: int = MAX_UNIT) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, sentences) of every span of a text.  Case and white space do not
-    count; a run that the text's end cuts short of ``min_words`` is no span."""
+def spans(text: str | None, min_words: int = MIN_WORDS, max_unit: int = MAX_UNIT) -> tuple[int, list[tuple[int, int, int]]]:
+    """How many sentences and pieces a text has, and (hash, first sentence, sentences) of each of its spans.  Case and white
+    space do not count; a run that the text's end cuts short of ``min_words`` is no span."""
     size, form = [], []
     for _, words, at in cuts(text, max_unit):
         size += [b - a for a, b in pairwise(at)]
@@ -115,19 +128,23 @@ def spans(text: str | None, min_words: int = MIN_WORDS, max_unit: int = MAX_UNIT
             break
         out.append((xxhash.xxh64_intdigest("\n".join(form[i:stop])) - (1 << 63), i, stop - i))
         n -= size[i]
-    return out
+    return len(size), out
 
 
 def places(docs: DataFrame, id_col: str, text_col: str, min_words: int, max_unit: int) -> DataFrame:
-    """(h, id, key, at, n): the spans of every row."""
+    """(h, id, key, at, n): the spans of every row, and a row without h for each with ``n`` sentences and pieces."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             ids, keys, hs, at, ns, id_type = [], [], [], [], [], b.schema.field(0).type
             for i, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                for h, first, n in spans(text.as_py(), min_words, max_unit):
-                    ids.append(i), keys.append(key), hs.append(h), at.append(first), ns.append(n)
+                count, found = spans(text.as_py(), min_words, max_unit)
+                found.append((None, -1, count))
+                ids += [i] * len(found)
+                keys += [key] * len(found)
+                for col, values in zip((hs, at, ns), zip(*found)):
+                    col += values
                 if len(hs) >= 100_000:
                     yield batch(ids, id_type, keys, hs, at, ns)
                     ids, keys, hs, at, ns = [], [], [], [], []
@@ -144,51 +161,52 @@ def places(docs: DataFrame, id_col: str, text_col: str, min_words: int, max_unit
 def repeated(found: DataFrame) -> DataFrame:
     """(key, at, n, first_key, first_at): the places of repeated spans that are not the first of
     their span, and the first."""
-    # most hashes occur once: a slim count finds the others before any place is compared.  What is
-    # joined is stored: skew splitting needs two plain shuffles, an aggregate on one side forbids it
-    again = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "spans-again")
-    held = stored(found.join(again, "h", "left_semi"), "spans-held")
+    # one aggregate counts the spans and finds their first places: its volume and that of the join follow the number of
+    # spans, however many of them repeat.  What is joined is stored: skew splitting needs two plain shuffles
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "at")
-    first = held.groupBy("h").agg(F.min(order).alias("first"))
+    first = found.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("first")).filter("c > 1")
     first = stored(first.select("h", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")), "spans-first")
-    return held.join(first, "h").filter("key <> first_key or at <> first_at").select("key", "at", "n", "first_key", "first_at")
+    places_ = found.select("h", "key", "at", "n")
+    return places_.join(first, "h").filter("key <> first_key or at <> first_at").select("key", "at", "n", "first_key", "first_at")
 
 
-def beside(cut: DataFrame, docs: DataFrame, id_col: str, text_col: str, max_unit: int, limit: int) -> DataFrame:
-    """(key, sides) with sides (unit, after, words): the hashes of up to ``limit`` words before or after
-    the first place of each span that borders on a sentence which stays, from (key, hits) rows."""
+def stretches(hits: DataFrame) -> DataFrame:
+    """The hits, each place once (repeated rows have the same), with (a, b): the stretch of sentences that they and those
+    that overlap or touch them cover."""
+    # one shuffle by document serves the places, the stretches and their ends
+    hits = hits.repartition("key").dropDuplicates(["key", "at"])
+    by_place = Window.partitionBy("key").orderBy("at")
+    end = F.max(F.col("at") + F.col("n")).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    rows = hits.withColumn("opens", F.when(F.col("at") <= end, 0).otherwise(1))
+    rows = rows.withColumn("stretch", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+    own = Window.partitionBy("key", "stretch")
+    return rows.withColumns({"a": F.min("at").over(own), "b": F.max(F.col("at") + F.col("n")).over(own)}).drop("opens", "stretch")
 
-    def borders(batches):
-        for b in batches:
-            out = {"key": [], "unit": [], "after": [], "first_key": [], "first_unit": []}
-            for key, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                gone = {k for r in found for k in range(r["at"], r["at"] + r["n"])}
-                sides = set()
-                for r in found:
-                    if r["at"] and r["at"] - 1 not in gone:
-                        sides.add((r["at"], False, r["first_key"], r["first_at"]))
-                    if r["at"] + r["n"] not in gone:
-                        sides.add((r["at"] + r["n"], True, r["first_key"], r["first_at"] + r["n"]))
-                for side in sides:
-                    for name, x in zip(out, (key, *side)):
-                        out[name].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(out, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()))], names=list(out))
+
+def beside(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, max_unit: int, limit: int) -> DataFrame:
+    """(key, sides) with sides (unit, after, words): the hashes of up to ``limit`` words before or after
+    the first place of each hit at an end of its stretch."""
+    before = hits.filter((F.col("at") == F.col("a")) & (F.col("a") > 0))
+    before = before.select("key", F.col("at").alias("unit"), F.lit(False).alias("after"), "first_key", F.col("first_at").alias("first_unit"))
+    after = hits.filter(F.col("at") + F.col("n") == F.col("b"))
+    after = after.select("key", F.col("b").alias("unit"), F.lit(True).alias("after"), "first_key", (F.col("first_at") + F.col("n")).alias("first_unit"))
 
     def firsts(batches):
         for b in batches:
             out = {"first_key": [], "first_unit": [], "after": [], "words": []}
-            for key, text, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+            for key, text, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 text = text.as_py()
-                words, parts = units(text, max_unit)
-                for r in asked:
-                    p = parts[r["first_unit"]][0] if r["first_unit"] < len(parts) else len(words)
-                    near = words[p:p + limit] if r["after"] else words[max(0, p - limit):p][::-1]
+                parts = sentences(text, max_unit)
+                for r in asked.as_py():
+                    near = beside_words(text, parts, r["first_unit"], r["after"], limit)
                     for name, x in zip(out, (key, r["first_unit"], r["after"], word_hashes(text, near))):
                         out[name].append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(out, (pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())))], names=list(out))
 
-    asked = stored(cut.mapInArrow(borders, "key long, unit int, after boolean, first_key long, first_unit int"), "spans-borders")
+    asked = stored(before.unionByName(after).distinct(), "spans-borders")
     per = asked.select("first_key", "first_unit", "after").distinct().groupBy("first_key").agg(F.collect_list(F.struct("first_unit", "after")).alias("asked"))
+    # what is joined is stored: skew splitting needs two plain shuffles
+    per = stored(per, "spans-asked")
     texts = docs.select(row_key(id_col, text_col).alias("first_key"), F.col(text_col).cast("string").alias("text"))
     near = texts.join(per, "first_key").mapInArrow(firsts, "first_key long, first_unit int, after boolean, words array<long>")
     place = ["first_key", "first_unit", "after"]
@@ -200,25 +218,27 @@ def word_hashes(text: str, words: list[tuple[int, int]]) -> list[int]:
     return [xxhash.xxh64_intdigest(text[a:b].lower()) - (1 << 63) for a, b in words]
 
 
-def extended(text: str, words: list[tuple[int, int]], parts: list[tuple[int, int]], drop: list[int], sides: list) -> list[tuple[int, int]]:
-    """Stretches of words (offsets in ``words``, ordered, disjoint) beside the dropped sentences that
+def extended(text: str, parts: list[tuple[int, int, int]], drop: set[int], sides: list) -> list[tuple[int, int, int]]:
+    """(start, stop, words) of the stretches of words (character offsets, ordered, disjoint) beside the dropped sentences that
     equal those beside a first place."""
     more = set()
     for r in sides:
-        p = parts[r["unit"]][0] if r["unit"] < len(parts) else len(words)
-        own = words[p:p + len(r["words"])] if r["after"] else words[max(0, p - len(r["words"])):p][::-1]
-        for k, (x, y) in enumerate(zip(word_hashes(text, own), r["words"])):
+        own = beside_words(text, parts, r["unit"], r["after"], len(r["words"]))
+        for where, x, y in zip(own, word_hashes(text, own), r["words"]):
             if x != y:
                 break
-            more.add(p + k if r["after"] else p - 1 - k)
-    for k in drop:
-        more.difference_update(range(*parts[k]))
+            more.add(where)
+    gone = sorted(parts[k][:2] for k in drop)
+    starts = [a for a, _ in gone]
     out = []
-    for w in sorted(more):
-        if out and out[-1][1] == w:
-            out[-1] = (out[-1][0], w + 1)
+    for a, b in sorted(more):
+        k = bisect_right(starts, a) - 1
+        if k >= 0 and a < gone[k][1]:
+            continue
+        if out and not text[out[-1][1]:a].strip(BLANKS):
+            out[-1] = (out[-1][0], b, out[-1][2] + 1)
         else:
-            out.append((w, w + 1))
+            out.append((a, b, 1))
     return out
 
 
@@ -231,37 +251,44 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first place; they count in ``words_removed`` only.  Null ids come last.  Rows of equal id and text are one
     document: they keep or lose the same sentences.  White space around a removed sentence
     stays; a text without repeats comes back byte for byte; null texts stay null; an empty table
-    gives an empty result; columns named as the new ones are replaced."""
+    gives an empty result; columns named as the new ones (in any letter case) are replaced, others keep name and value."""
     found = stored(places(docs, id_col, text_col, min_words, max_unit), "spans")
-    cut = repeated(found).distinct().groupBy("key").agg(F.collect_list(F.struct("at", "n", "first_key", "first_at")).alias("hits"))
+    hits = stored(stretches(repeated(found.filter("h is not null"))), "spans-hits")
+    cut = found.filter("h is null").select("key", F.col("n").alias("count")).dropDuplicates(["key"])
+    lost = hits.select("key", "a", "b").distinct().groupBy(F.col("key").alias("k")).agg(F.collect_list(F.struct("a", "b")).alias("lost"))
+    cut = cut.join(lost, F.col("key") == F.col("k"), "left").drop("k")
     if extend:
-        cut = stored(cut, "spans-cut")
-        cut = cut.join(beside(cut, docs, id_col, text_col, max_unit, min_words + 2 * max_unit), "key", "left")
+        cut = cut.join(beside(hits, docs, id_col, text_col, max_unit, min_words + 2 * max_unit).withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left").drop("k")
     else:
         cut = cut.withColumn("sides", F.lit(None).cast("array<struct<unit:int,after:boolean,words:array<bigint>>>"))
-    cut = cut.select("key", F.struct(F.transform("hits", lambda r: F.struct(r["at"].alias("at"), r["n"].alias("n"))).alias("hits"), "sides").alias("_cut"))
+    cut = stored(cut, "spans-cut")
     new = ("n_sentences", "n_removed", "words_removed")
-    marked = docs.drop(*new).withColumn("_key", row_key(id_col, text_col)).join(cut.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
-    names = [f.name for f in marked.schema if f.name != "_cut"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name != "_cut")
+    marked = docs.select(packed(docs, (*new, text_col)).alias("row"), row_key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    marked = marked.join(cut, marked["doc"] == cut["key"]).select("row", "text", "count", "lost", "sides")
+    schema = marked.select("row", "text", *(F.lit(0).cast("long").alias(c) for c in new)).schema
 
     def run(batches):
-        for b in batches:
-            texts, sizes, gone, words = [], [], [], []
-            for text, ranges in zip(b.column(text_col), b.column("_cut").to_pylist()):
-                text = text.as_py()
-                if not ranges:
-                    texts.append(text), sizes.append(sum(len(at) - 1 for _, _, at in cuts(text, max_unit))), gone.append(0), words.append(0)
-                    continue
-                held, parts = units(text, max_unit)
-                drop = sorted({k for r in ranges["hits"] for k in range(r["at"], r["at"] + r["n"])})
-                lost = sorted([*(parts[k] for k in drop), *extended(text, held, parts, drop, ranges["sides"] or ())])
-                texts.append(without(text, [(held[a][0], held[b - 1][1]) for a, b in lost]))
-                sizes.append(len(parts)), gone.append(len(drop)), words.append(sum(b - a for a, b in lost))
-            cols = [pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(x, pa.int64()) for x in (sizes, gone, words))], names=[*names, *new])
-
-    return marked.mapInArrow(run, schema + "".join(f", {c} long" for c in new))
+        for whole in batches:
+            for i in range(0, whole.num_rows, OUT_ROWS):
+                b = whole.slice(i, OUT_ROWS)
+                texts, gone, words = [], [], []
+                for text, lost, sides in zip(b.column(1), b.column(3), b.column(4)):
+                    text = text.as_py()
+                    if not lost.is_valid:
+                        texts.append(text), gone.append(0), words.append(0)
+                        continue
+                    parts = sentences(text, max_unit)
+                    drop = {k for r in lost.as_py() for k in range(r["a"], r["b"])}
+                    more = extended(text, parts, drop, sides.as_py() or ())
+                    texts.append(without(text, sorted([*(parts[k][:2] for k in drop), *((x, y) for x, y, _ in more)])))
+                    gone.append(len(drop)), words.append(sum(parts[k][2] for k in drop) + sum(n for *_, n in more))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), b.column(2).cast(pa.int64()),
+                                                  pa.array(gone, pa.int64()), pa.array(words, pa.int64())], names=schema.names)
+
+    out = marked.mapInArrow(run, schema)
+    own = {c: F.col("row").getField(c) for c in out.schema["row"].dataType.names} | {text_col: F.col("text")}
+    kept = [c for c in docs.columns if c.lower() not in new]
+    return out.select(*[own[c].alias(c) for c in kept], *[F.col(c) for c in new])
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> str:
