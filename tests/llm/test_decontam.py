@@ -91,3 +91,10 @@ def test_edge_cases(spark, docs_of):
     assert sorted(str(r.doc_id) for r in decontam.drop_contaminated(docs, bench).collect()) == ["1", "2", "5"]
     assert decontam.matches(docs, bench.limit(0)).count() == 0 and decontam.matches(docs.limit(0), bench).count() == 0
     assert decontam.drop_contaminated(docs, bench.limit(0)).count() == 7
+
+
+def test_short_items_are_found_where_they_stand(spark, docs_of):
+    bench = spark.createDataFrame([(1, "four words stand here"), (2, "One")], "item_id long, text string")
+    docs = docs_of([(1, "before: four words stand, here."), (2, "four words here stand"), (3, "one"), (4, None)])
+    assert sorted((r.id, r.item, r.distance) for r in decontam.matches(docs, bench).collect()) == [(1, 1, 0), (3, 2, 0)]
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()) == [2, 4]

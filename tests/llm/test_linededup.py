@@ -1,4 +1,5 @@
 """Boilerplate lines against brute force, the near-threshold path, edge cases."""
+import hashlib
 import re
 from collections import defaultdict
 
@@ -8,11 +9,14 @@ from zonelens.llm.common import read
 from .conftest import SF
 
 
-def brute(rows, min_sites, min_words=4):
+def brute(rows, min_sites, min_words=1):
     """rows of (id, text, site) -> sorted (id, lines, removed, text)."""
-    site = {}
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    drawn = {}
     for _, t, s in rows:
-        site[t] = min(site.get(t, s or "\0"), s or "\0")
+        own = (md5(f"{md5(t or '')}|{s or chr(0)}"), s or "\0")
+        drawn[t] = min(drawn.get(t, own), own)
+    site = {t: s for t, (_, s) in drawn.items()}
     key = lambda x: re.sub(r"[\x09-\x0D]", " ", x).strip(" ")
     judged = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= min_words
     on = defaultdict(set)
@@ -77,3 +81,17 @@ def test_the_pipeline_judges_short_lines(spark, docs_of):
     rows = [(i, f"body {i} has words of its own\nAll rights reserved.", f"s{i}") for i in range(12)] + [(20 + i, f"another text number {i}\nMenu", f"s{i}") for i in range(9)]
     got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs_of(rows), None).collect()}
     assert all(got[i] == f"body {i} has words of its own" for i in range(12)) and all(got[i] == t for i, t, _ in rows[12:])
+
+
+def test_a_mirror_does_not_speak_for_all_texts(docs_of):
+    """A line in 40 texts, each on a site of its own and on one mirror of small name."""
+    rows = [(2 * i + k, f"shared line of the sites\nown text of number {i}", s) for i in range(40) for k, s in enumerate((f"s{i}", "a-mirror"))]
+    assert all(r.n_removed == 1 for r in linededup.strip_boilerplate(docs_of(rows)).collect())
+
+
+def test_clashing_names_keep_their_values(spark):
+    names = "_key _bad key doc bad row kept line site h N_LINES".split()
+    rows = [(i, f"shared line\nown text {i}", f"s{i}", *(f"{c}{i}" for c in names)) for i in range(12)]
+    out = linededup.strip_boilerplate(spark.createDataFrame(rows, ["doc_id", "text", "source", *names]))
+    assert out.columns == ["doc_id", "text", "source", *names[:-1], "n_lines", "n_removed"]
+    assert all(r.text == f"own text {r.doc_id}" and all(r[c] == f"{c}{r.doc_id}" for c in names[:-1]) for r in out.collect())

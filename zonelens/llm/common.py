@@ -60,11 +60,6 @@ def packed(df: DataFrame, but: tuple = ()) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in less])
 
 
-def unpacked(df: DataFrame, name: str, **instead: Column) -> list[Column]:
-    """The columns of the struct ``name`` again; those of ``instead`` take the place of the ones they name."""
-    return [(instead[c] if c in instead else F.col(name).getField(c)).alias(c) for c in df.schema[name].dataType.names]
-
-
 def row_key(id_col: str, text_col: str) -> Column:
     """64-bit key of a row: equal for rows of equal id and equal text only (up to hash
     collisions), defined for nulls."""

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import row_key, ship
 
 MAX_ERROR = 0.15
-MIN_WORDS = 5
+MIN_WORDS = 1
 BLOCK_WORDS = 2_000_000
 WORD = re.compile(r"[^\W_]+")
 
@@ -125,8 +125,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     """(id, key, item, distance, first_word, end_word): one row for each row of ``docs`` and each
     item that it holds within the item's budget, with the best passage (the earliest of equals).
 
-    ``key`` is the row's key.  Items of fewer than ``min_words`` words (null and empty ones too) say
-    too little and match nothing; null and empty texts hold nothing; equal items match each under
+    ``key`` is the row's key.  Items of fewer than ``min_words`` words (by default those without a
+    word) match nothing; an item of few words has no error budget and matches where it stands word for word; null and empty texts hold nothing; equal items match each under
     its id; repeated rows match each; empty tables give an empty result; other columns are not
     read."""
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()

@@ -72,9 +72,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 LINE_DEDUP = f"""
 WITH d AS (SELECT doc_id, text, coalesce(source, chr(0)) AS site, row_number() OVER () AS r FROM documents),
-carrier AS (SELECT text, min(site) AS site FROM d GROUP BY text),
+carrier AS (SELECT text, arg_min(site, md5(md5(coalesce(text, '')) || '|' || site)) AS site FROM d GROUP BY text),
 l AS (
-  SELECT r, k, x, trim(regexp_replace(x, '[\\x09-\\x0D]', ' ', 'g'), ' ') AS line, len(regexp_extract_all(x, '{WORD}')) >= 4 AS judged
+  SELECT r, k, x, trim(regexp_replace(x, '[\\x09-\\x0D]', ' ', 'g'), ' ') AS line, len(regexp_extract_all(x, '{WORD}')) >= 1 AS judged
   FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM d)),
 bad AS (
   SELECT line FROM l JOIN d USING (r) JOIN carrier c ON c.text IS NOT DISTINCT FROM d.text WHERE judged
@@ -87,4 +87,28 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n END AS n_lines, n_gone AS n_
 FROM d JOIN per USING (r)
 """
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op5_quality": QUALITY, "op7_line_dedup": LINE_DEDUP}
+
+def centroids(rounds: int = 3) -> str:
+    """Vectors as (r, i, x), centroids as (c, i, x); every round assigns and takes floors of means."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""d{k} AS MATERIALIZED (SELECT e.r, k.c, sum((e.x - k.x) * (e.x - k.x))::BIGINT AS d FROM e JOIN k{k} k USING (i) GROUP BY e.r, k.c),
+a{k} AS MATERIALIZED (SELECT r, c, d FROM d{k} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if k < rounds:
+            steps.append(f"""s{k} AS MATERIALIZED (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{k} JOIN e USING (r) GROUP BY c, i),
+k{k + 1} AS MATERIALIZED (SELECT k.c, k.i, CASE WHEN n IS NULL THEN k.x ELSE (s - ((s % n) + n) % n) // n END AS x FROM k{k} k LEFT JOIN s{k} USING (c, i))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+e AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS i, unnest(v) AS x FROM v),
+seed AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM v QUALIFY c < 16),
+k0 AS MATERIALIZED (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM seed),
+{", ".join(steps)},
+sha AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM k{rounds} GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN sha USING (c)
+"""
+
+
+ORACLES: dict[str, str] = {"op3_mixing": MIXING, "op5_quality": QUALITY, "op7_line_dedup": LINE_DEDUP, "op12_centroids": centroids()}

@@ -208,6 +208,8 @@ def beside(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, max_uni
     # what is joined is stored: skew splitting needs two plain shuffles
     per = stored(per, "spans-asked")
     texts = docs.select(row_key(id_col, text_col).alias("first_key"), F.col(text_col).cast("string").alias("text"))
+    # few texts hold first places: the others are left where they are
+    texts = texts.join(small(per.select("first_key")), "first_key", "left_semi")
     near = texts.join(per, "first_key").mapInArrow(firsts, "first_key long, first_unit int, after boolean, words array<long>")
     place = ["first_key", "first_unit", "after"]
     near = stored(near.filter(F.size("words") > 0).dropDuplicates(place), "spans-beside")
