@@ -135,3 +135,16 @@ META_SQL = "SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.t
 def corpus_join(spark, sf):
     """Documents joined to their metadata (inner, one metadata row per key)."""
     return tx.join_metadata(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+#: Base of the metadata's ids, which are addresses; documents are named by what follows it.
+ID_BASE = "https://papers.example/W"
+
+
+@register("corpus_join_by_address", META_SQL)
+def corpus_join_by_address(spark, sf):
+    """G11 + C1: metadata whose ids are addresses; their base is stripped before they meet the documents' names."""
+    docs = table(spark, sf, "documents").withColumn("doc_id", F.col("doc_id").cast("string"))
+    meta = table(spark, sf, "labels").withColumn("doc_id", F.concat(F.lit(ID_BASE), F.col("doc_id").cast("string")))
+    meta = meta.withColumn("doc_id", tx.replace_prefix("doc_id", ID_BASE))
+    return tx.join_metadata(docs, meta).withColumn("doc_id", F.col("doc_id").cast("long"))
