@@ -4,7 +4,7 @@ from __future__ import annotations
 WORD = r"[^\x20\x09-\x0D]+"
 
 MIXING = f"""
-WITH base AS (
+WITH RECURSIVE base AS (
   SELECT doc_id AS id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS s FROM base GROUP BY source),
 weighed AS (
@@ -20,25 +20,44 @@ targets AS (
       * (total - coalesce(sum(cap) FILTER (WHERE is_capped) OVER (), 0))::DOUBLE / (sum(w) FILTER (WHERE NOT is_capped) OVER ())::DOUBLE END AS target
   FROM capped),
 rates AS (
-  SELECT *, floor(rate + 1e-12::DOUBLE) AS whole, greatest(rate - floor(rate + 1e-12::DOUBLE), 0::DOUBLE) AS p
-  FROM (SELECT *, CASE WHEN s > 0 THEN target / s ELSE 0::DOUBLE END AS rate FROM targets)),
+  SELECT *, floor(target - whole * s + 1e-6::DOUBLE)::BIGINT AS room
+  FROM (SELECT *, floor(CASE WHEN s > 0 THEN target / s ELSE 0::DOUBLE END + 1e-12::DOUBLE)::BIGINT AS whole FROM targets)),
+classes AS (
+  SELECT base.source, length(bin(size)) AS k, room, sum(size)::HUGEINT AS n, length(bin(size)) + 1 AS g
+  FROM base JOIN rates ON base.source IS NOT DISTINCT FROM rates.source WHERE size > 0 AND room > 0 GROUP BY ALL),
+certain AS (
+  SELECT *, g::DOUBLE * (room - coalesce(sum(n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    >= (sum(n * g) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS sure
+  FROM classes WINDOW o AS (PARTITION BY source ORDER BY k DESC)),
+odds AS (
+  SELECT source, k, CASE WHEN sure THEN 1::DOUBLE ELSE g::DOUBLE * (room - coalesce(sum(n) FILTER (WHERE sure) OVER w, 0))::DOUBLE
+    / (sum(n * g) FILTER (WHERE NOT sure) OVER w)::DOUBLE END AS p
+  FROM certain WINDOW w AS (PARTITION BY source)),
 ranked AS (
-  SELECT base.*, s, target, whole, p, floor(target - whole * s + 1e-6::DOUBLE) AS room,
-    u / (1::DOUBLE - u) * ((1::DOUBLE - p) / CASE WHEN p > 0 THEN p END) AS q
-  FROM (SELECT *, (('0x' || substr(md5('mix|' || coalesce(id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM base) base
-  JOIN rates ON base.source IS NOT DISTINCT FROM rates.source),
-run AS (
-  SELECT *, p > 0 AND size > 0 AS can,
-    sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q, id NULLS FIRST, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM ranked),
-drawn AS (SELECT *, can AND upto <= room AS sampled FROM run),
-spare AS (SELECT *, room - coalesce(max(upto) FILTER (WHERE sampled) OVER (PARTITION BY source), 0) AS free FROM drawn),
-closing AS (
-  SELECT source, id, size FROM spare WHERE can AND NOT sampled AND size <= free
-  QUALIFY row_number() OVER (PARTITION BY source ORDER BY size DESC, q, id DESC NULLS LAST) = 1),
-copies AS (
-  SELECT x.*, whole::BIGINT + (sampled OR (can AND c.size IS NOT NULL))::BIGINT AS copies
-  FROM spare x LEFT JOIN closing c ON x.source IS NOT DISTINCT FROM c.source AND x.id IS NOT DISTINCT FROM c.id AND x.size = c.size)
+  SELECT row_number() OVER () AS r, x.id, x.source, x.size, room,
+    CASE WHEN p >= 1 THEN u - 1::DOUBLE WHEN p > 0 THEN u / (1::DOUBLE - u) * ((1::DOUBLE - p) / p) END AS q, s, target, whole
+  FROM (SELECT *, (('0x' || substr(md5('mix|' || coalesce(id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM base) x
+  JOIN rates ON x.source IS NOT DISTINCT FROM rates.source
+  LEFT JOIN odds ON x.source IS NOT DISTINCT FROM odds.source AND length(bin(x.size)) = odds.k),
+rounds AS (
+  SELECT 0 AS step, r, id, source, size, q, room, room AS cap, false AS sampled FROM ranked WHERE q IS NOT NULL
+  UNION ALL
+  SELECT step + 1, r, id, source, size, q, room - took, least(room - took, CASE WHEN step % 2 = 1 AND took = 0 THEN cap // 2 ELSE cap END),
+    sampled OR now
+  FROM (
+    SELECT *, coalesce(max(upto) FILTER (WHERE now) OVER (PARTITION BY source), 0)::BIGINT AS took
+    FROM (
+      SELECT *, able AND upto <= room AS now
+      FROM (
+        SELECT *, sum(CASE WHEN able THEN size ELSE 0 END) OVER (
+            PARTITION BY source ORDER BY q, id NULLS FIRST, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS upto
+        FROM (
+          SELECT *, NOT sampled AND size <= CASE WHEN step % 2 = 0 THEN least(cap, room // 2) ELSE cap END AS able,
+            step % 2 = 1 OR bool_or(NOT sampled AND size <= cap) OVER (PARTITION BY source) AS going
+          FROM rounds))))
+  WHERE going),
+drawn AS (SELECT r, bool_or(sampled) AS sampled FROM rounds GROUP BY r),
+copies AS (SELECT ranked.*, whole + coalesce(sampled, false)::BIGINT AS copies FROM ranked LEFT JOIN drawn USING (r))
 SELECT id AS doc_id, size, s AS source_size, target, copies * size AS taken FROM copies
 """
 
