@@ -1,21 +1,21 @@
 """Zone clustering: scaled profiles, k-means for several k, silhouette choice of k,
 cluster report.  Also the k-means topics of a document collection.
 
-Iterative fits read a checkpointed input: every k-means iteration and the silhouette
-pass re-read the vectors, and the reliable checkpoint (in the shared checkpoint
+Iterative fits read a checkpointed input: every k-means round and the silhouette
+passes re-read the vectors, and the reliable checkpoint (in the shared checkpoint
 folder) cuts the lineage so a lost executor does not replay the profile aggregation.
-The scaler is fitted once and the winning model is kept, not refitted."""
+All k share the rounds (see ``lloyd``); the scaler is fitted once and the winning centres are kept, not refitted."""
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonelens.operators.lloyd import Clusters, assigned, joint_kmeans, silhouettes
 from zonelens.operators.profile import measure_argmax
 from zonelens.session import shared_dir
 
@@ -36,7 +36,7 @@ class ZonesResult:
     scores: DataFrame    # k, silhouette, chosen
     members: DataFrame   # key, cluster
     report: DataFrame    # cluster, size, <feature> means, dominant_measure, dominant_value, <scaled> mean
-    model: KMeansModel
+    model: Clusters
     best_k: int
 
 
@@ -47,15 +47,14 @@ def zones(profile: DataFrame, features: Sequence[str], *, key: str = "district",
     spark = profile.sparkSession
     vec = VectorAssembler(inputCols=list(features), outputCol="features").transform(profile)
     scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True)
-    scaled = scaler.fit(vec).transform(vec).select(key, *features, "scaled_features")
-    scaled = checkpointed(scaled, key)
-    fitted = {k: KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol="cluster").fit(scaled) for k in ks}
-    judge = ClusteringEvaluator(featuresCol="scaled_features", predictionCol="cluster", metricName="silhouette")
-    candidates = spark.createDataFrame([(int(k), float(judge.evaluate(m.transform(scaled)))) for k, m in fitted.items()],
-                                       "k int, silhouette double")
+    scaled = scaler.fit(vec).transform(vec).select(key, *features, F.array(*[F.lit(i) for i in range(len(features))]).alias("idx"),
+                                                   vector_to_array("scaled_features").alias("w"))
+    scaled = checkpointed(scaled)
+    fitted = joint_kmeans(scaled, len(features), ks, key=key, seed=seed)
+    candidates = spark.createDataFrame([(int(k), s) for k, s in silhouettes(scaled, fitted).items()], "k int, silhouette double")
     best_k = candidates.orderBy(F.col("silhouette").desc(), "k").first()["k"]
     scores = candidates.withColumn("chosen", F.col("k") == best_k)
-    clustered = fitted[best_k].transform(scaled)
+    clustered = assigned(scaled, fitted[best_k])
     members = clustered.select(key, "cluster")
     return ZonesResult(scores, members, cluster_report(clustered, features, names=names, extra_mean=extra_mean),
                        fitted[best_k], best_k)
@@ -77,15 +76,13 @@ def cluster_report(clustered: DataFrame, features: Sequence[str], *, names: Sequ
     return rep.select(*cols)
 
 
-def topics(vectors: DataFrame, *, k: int = 5, seed: int = 42, features: str = "tfidf",
-           key: str = "doc_id") -> tuple[DataFrame, KMeansModel]:
-    """K-means topics on (unit-length) document vectors: (doc_id, cluster) and the model."""
-    data = checkpointed(vectors.select(key, features), key)
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(data)
-    return model.transform(data).select(key, "cluster"), model
+def topics(rows: DataFrame, n_terms: int, *, k: int = 5, seed: int = 42, key: str = "doc_id") -> tuple[DataFrame, Clusters]:
+    """K-means topics on (unit-length) document vectors, as written sparse rows (id, idx, w): (doc_id, cluster) and the centres."""
+    model = joint_kmeans(rows, n_terms, [k], seed=seed)[k]
+    return assigned(rows.select("id", "idx", "w"), model).withColumnRenamed("id", key), model
 
 
-def topic_terms(spark, model: KMeansModel, vocab: DataFrame, n: int = 10) -> DataFrame:
+def topic_terms(spark, model: Clusters, vocab: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` heaviest terms of every centroid (k x V centroid values and the
     vocabulary are bounded by k and ``max_features``)."""
     import numpy as np

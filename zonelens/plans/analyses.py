@@ -101,14 +101,13 @@ def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang:
     res = tx.tfidf(enc, min_df=min_df, max_df=max_df, max_features=max_features)
     vocab = res.vocabulary
     postings = zn.checkpointed(res.postings)
-    vectors = tx.tfidf_vectors(postings, proc, vocab)
     rows = zn.checkpointed(tx.sparse_rows(postings, proc))
     emb = embed.randomized_pca(rows, vocab.count(), k=components, seed=seed)
     dmap = emb.scores.selectExpr("doc_id", "embedding[0] AS map_x", "embedding[1] AS map_y")
     k = min(n_neighbors, proc.count() - 1)
     neigh = sparse.sparse_knn(rows, k, vocab.count())
     outliers = nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), contamination)
-    topics, model = zn.topics(vectors, k=n_topics, seed=seed)
+    topics, model = zn.topics(rows, vocab.count(), k=n_topics, seed=seed)
     report = dmap.join(outliers, "doc_id").join(topics, "doc_id")
     if metadata is not None:
         report = tx.join_metadata(report, metadata)

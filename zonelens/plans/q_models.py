@@ -81,16 +81,15 @@ def literature(spark, sf):
         enc = q_text.enc(spark, sf)
         p = enc.docs.select("doc_id")
         res = tx.tfidf(enc)
-        res.postings = zn.checkpointed(res.postings)
-        vectors = tx.tfidf_vectors(res.postings, p, res.vocabulary)
-        return p, res, res.vocabulary, vectors
+        rows = zn.checkpointed(tx.sparse_rows(res.postings, p))
+        return p, rows, res.vocabulary
     return _memo(("literature", _app(spark), sf), build)
 
 
 def topics_result(spark, sf):
     def fit():
-        _, _, vocab, vectors = literature(spark, sf)
-        clusters, model = zn.topics(vectors, k=5, seed=42)
+        _, rows, vocab = literature(spark, sf)
+        clusters, model = zn.topics(rows, vocab.count(), k=5, seed=42)
         return clusters, model, vocab
     return _memo(("topics", _app(spark), sf), fit)
 
@@ -110,8 +109,8 @@ def topic_terms(spark, sf):
 
 def embed_result(spark, sf):
     def fit():
-        p, res, vocab, _ = literature(spark, sf)
-        return embed.randomized_pca(tx.sparse_rows(res.postings, p), vocab.count(), k=50, seed=42)
+        _, rows, vocab = literature(spark, sf)
+        return embed.randomized_pca(rows, vocab.count(), k=50, seed=42)
     return _memo(("embed", _app(spark), sf), fit)
 
 
@@ -136,9 +135,9 @@ def doc_map(spark, sf):
 
 def text_lof(spark, sf):
     def fit():
-        p, res, vocab, _ = literature(spark, sf)
+        p, rows, vocab = literature(spark, sf)
         k = min(20, p.count() - 1)
-        neigh = sparse.sparse_knn(tx.sparse_rows(res.postings, p), k, vocab.count())
+        neigh = sparse.sparse_knn(rows, k, vocab.count())
         return nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), 0.1)
     return _memo(("text_lof", _app(spark), sf), fit)
 
@@ -146,12 +145,10 @@ def text_lof(spark, sf):
 @register("corpus_report")
 def corpus_report(spark, sf):
     """Documents with metadata, map coordinates, LOF score and flag, topic."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    meta = table(spark, sf, "labels")
-    enriched = (docs.join(doc_map_df(spark, sf).drop("log_weight"), "doc_id")
-                .join(text_lof(spark, sf), "doc_id")
-                .join(topics_result(spark, sf)[0], "doc_id"))
-    return tx.join_metadata(enriched, meta)
+    docs = tx.join_metadata(table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"), table(spark, sf, "labels"))
+    return (docs.join(doc_map_df(spark, sf).drop("log_weight"), "doc_id")
+            .join(text_lof(spark, sf), "doc_id")
+            .join(topics_result(spark, sf)[0], "doc_id"))
 
 
 def forecast_leak_free(spark, sf):
