@@ -94,6 +94,22 @@ def test_url_classifier(spark):
     assert all(score(u) < 0.5 for u in ("https://www.history.edu/lectures/rome", "https://blog.gardener.org/en/12"))
 
 
+def test_url_classifier_on_urls_held_apart(spark):
+    rows = [(u, 0) for u in urls.GOOD] + [(u, 1) for u in urls.BAD]
+    right = 0
+    for fold in range(4):  # each URL is judged by a model that has not seen it
+        model = urls.train(spark.createDataFrame([r for k, r in enumerate(rows) if k % 4 != fold], "url string, block int"))
+        right += sum((model.score(at := urls.features(*brute_url(u)), [1.0] * len(at)) >= 0.5) == y for k, (u, y) in enumerate(rows) if k % 4 == fold)
+    print("held apart:", right, "of", len(rows))
+    assert right >= 0.8 * len(rows)
+
+
+def test_no_training_url_is_of_a_given_site(spark):
+    sites = lambda found: {".".join(brute_url(u)[0].split(".")[-3:]) for u in found if u and brute_url(u)[0].count(".") > 1}
+    given = [r.url for sf in ("sf0.001", "sf0.01", "sf0.1") for r in read(spark, f"/root/testdata/{sf}", "pages").select("url").collect()]
+    assert not sites(given) & sites(urls.GOOD + urls.BAD)
+
+
 def test_url_training_without_two_classes(spark):
     page = spark.createDataFrame([(1, "http://x.org/")], "page_id long, url string")
     labelled = lambda rows: spark.createDataFrame(rows, "url string, block int")

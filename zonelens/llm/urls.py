@@ -21,7 +21,7 @@ GRAMS = (3, 4, 5)
 # The rules (verdict, host and path prefix)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
-# The small labelled table: URLs of sites that are worth reading, and of sites that are not.
+# The small labelled table: invented URLs of sites that are worth reading, and of sites that are not.
 GOOD = """
 https://www.university.edu/research/papers/2019
 https://library.college.edu/catalog/history
@@ -53,23 +53,23 @@ https://www.linguistics.edu/grammar/verbs
 https://ocean.research.org/expedition/log
 https://code.community.org/questions/4033
 https://music.archive.org/concerts/symphony
-https://therhe.example.org/en/8423
-https://tionble.example.org/en/482/
-https://m.theron.example.net/de/5989
-https://hanced.example.org/de/6137
-https://www.onesta.example.org/en/2210.html
-https://blog.eresti.example.net/en/7442
+https://garden.example.org/en/8423
+https://lectures.example.org/en/482/
+https://m.bridges.example.net/de/5989
+https://valley.example.org/de/6137
+https://www.orchestra.example.org/en/2210.html
+https://blog.harbour.example.net/en/7442
 """.split()
 BAD = """
 http://www.casino-win.com/play/slots
-http://m.casino-win.example.org/en/4033.html
+http://m.casino-palace.example.org/en/4033.html
 http://best-casino.net/bonus
 http://online-casino-bonus.biz/register
-https://free-bets.example.org/en/5462
+https://free-spins.example.org/en/5462
 http://free-bets.info/odds/football
 http://sports-bets.net/win/today
 http://bet-now.xyz/jackpot
-https://www.cheap-pills.example.net/de/6652.html
+https://www.buy-cheap-pills.example.net/de/6652.html
 http://cheap-pills.biz/order/viagra
 http://buy-pills-online.info/cialis
 http://cheap-meds.net/pharmacy/no-prescription
@@ -97,6 +97,12 @@ http://free-download-crack.info/serial
 http://torrent-movies.biz/full
 http://hot-deals.xyz/coupon
 http://followers-buy.info/likes
+http://www.casino-jackpot.example.org/en/77.html
+http://win-casino.example.net/fr/210
+https://m.free-bets-now.example.org/de/915
+http://cheap-pills-shop.example.org/fr/31.html
+http://blog.online-bets.example.net/en/6021
+http://best-casino-win.example.org/es/448
 """.split()
 
 
