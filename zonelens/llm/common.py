@@ -56,8 +56,24 @@ def words(c: Column) -> Column:
 def packed(df: DataFrame, but: tuple = ()) -> Column:
     """The columns of ``df`` (without those in ``but``, whatever their letter case) in one struct: an operator's own columns
     stand beside it and can't clash with them."""
+    return F.struct(*own(df, but))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as keep it apart from the columns of ``df`` (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def own(df: DataFrame, but: tuple = ()) -> list[Column]:
+    """The columns of ``df`` without those in ``but``, whatever their letter case."""
     less = {c.lower() for c in but}
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in less])
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in less]
 
 
 def row_key(id_col: str, text_col: str) -> Column:

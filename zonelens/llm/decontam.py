@@ -166,7 +166,9 @@ def item_type(kind: str) -> pa.DataType:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns, in one narrow pass for each
     block of items (no shuffle)."""
-    names, schema = docs.columns, docs.schema
+    names = docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names that no struct path is read from
+    schema = docs.schema
     max_error, min_words = how.get("max_error", MAX_ERROR), how.get("min_words", MIN_WORDS)
     sc = docs.sparkSession.sparkContext
 
@@ -183,7 +185,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     for block in blocks(benchmark, how.get("item_col", "item_id"), how.get("item_text_col", "text"), min_words, how.get("block_words", BLOCK_WORDS)):
         docs = clean(docs, block)
-    return docs
+    return docs.toDF(*names)
 
 
 ship(__name__)

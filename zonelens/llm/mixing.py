@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACES, checkpointed, small
+from .common import NON_SPACES, checkpointed, packed, small
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -198,10 +198,11 @@ def apply_cuts(docs: DataFrame, cuts: DataFrame, id_col: str = "doc_id", text_co
                seed: str = SEED, out: str = "copies") -> DataFrame:
     """``docs`` with all its columns and the number of copies the mix takes, in one narrow pass
     (no text is shuffled where the sources are few enough to broadcast).  Columns of ``docs`` named
-    as the new ones are replaced."""
-    cols = [c for c in docs.columns if c not in (out, "size", "source_size", "target")]
-    row = F.struct(*[F.col(c) for c in cols])
+    as the new ones (in any letter case) are replaced."""
+    new = (out, "size", "source_size", "target")
+    row = packed(docs, new)
+    cols = [c for c in docs.columns if c.lower() not in {n.lower() for n in new}]
     base = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), row.alias("row"))
     rows = _ranked(base, _sent(cuts), seed).withColumn("copies", _copies())
-    return rows.select(*[F.col("row")[c].alias(c) for c in cols], F.col("copies").alias(out),
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in cols], F.col("copies").alias(out),
                        "size", "source_size", "target")

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import own, unused, words
 
 WINDOW = 8
 
@@ -70,13 +70,14 @@ def n_repeat_words(ws: Column) -> Column:
     return F.when(n < WINDOW + 1, none).otherwise(found)
 
 
-def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``_m`` of long measurements (null text: as empty)."""
-    text, ws, lines, joined = (F.col(c) for c in ("_t", "_w", "_l", "_j"))
-    d = docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit("")))
-    d = d.withColumn("_w", words(text))
-    d = d.withColumn("_l", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    d = d.withColumn("_j", F.translate(text, " \t\n\x0b\x0c\r", ""))
+def measurements(docs: DataFrame, text_col: str = "text", name: str = "m") -> DataFrame:
+    """``docs`` with a struct column ``name``, no name of theirs, of long measurements (null text: as empty)."""
+    t, w, l, j = unused(docs, "_t", "_w", "_l", "_j")
+    text, ws, lines, joined = (F.col(c) for c in (t, w, l, j))
+    d = docs.withColumn(t, F.coalesce(F.col(text_col), F.lit("")))
+    d = d.withColumn(w, words(text))
+    d = d.withColumn(l, F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    d = d.withColumn(j, F.translate(text, " \t\n\x0b\x0c\r", ""))
     count = lambda c: c.cast("long")
     m = {
         "n_words": count(F.size(ws)),
@@ -92,8 +93,16 @@ def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }
     # a generator of one row: no filter on the measurements is moved below it, so each is computed
     # once whatever is done with it later
-    one = F.explode(F.array(F.struct(*[c.alias(k) for k, c in m.items()]))).alias("_m")
-    return d.select(*docs.columns, one)
+    one = F.explode(F.array(F.struct(*[c.alias(k) for k, c in m.items()]))).alias(name)
+    return d.select(*own(docs), one)
+
+
+def _judged(docs: DataFrame, text_col: str, fails: str, m: str) -> DataFrame:
+    """``docs`` with the columns ``fails`` and ``m``, no names of theirs."""
+    d = measurements(docs, text_col, m)
+    get = lambda name: F.col(m)[name]
+    bits = [F.when(test(get), F.lit(BITS[name]).cast("long")).otherwise(F.lit(0).cast("long")) for name, (test, _) in RULES.items()]
+    return d.select(*own(docs), reduce(lambda a, b: a.bitwiseOR(b), bits).alias(fails), m)
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -101,11 +110,15 @@ def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     A null or empty text has zero everywhere and fails ``few_words`` only; repeated rows are
     judged each; an empty table gives an empty ledger.  The two new columns replace columns of
-    the same names."""
-    d = measurements(docs, text_col).withColumnRenamed("_m", "_m0")
-    get = lambda name: F.col("_m0")[name]
-    bits = [F.when(test(get), F.lit(BITS[name]).cast("long")).otherwise(F.lit(0).cast("long")) for name, (test, _) in RULES.items()]
-    return d.withColumn("fails", reduce(lambda a, b: a.bitwiseOR(b), bits)).withColumn("m", F.col("_m0")).drop("_m0")
+    the same names (in any letter case); all others keep name and value."""
+    return _judged(docs.select(*own(docs, ("fails", "m"))), text_col, "fails", "m")
+
+
+def passing(docs: DataFrame, *policies: str | tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass every policy, all their columns as they are (``fails`` and ``m`` too)."""
+    fails, m = unused(docs, "fails", "m")
+    led = _judged(docs, text_col, fails, m)
+    return led.filter(reduce(lambda a, b: a & b, [verdict(F.col(fails), p) for p in policies])).select(*own(docs))
 
 
 def verdict(fails: Column, policy: str | tuple[str, ...]) -> Column:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, row_key, ship
+from .common import checkpointed, own, row_key, ship, unused
 from .components import components
 
 #: Shingles hashed at a time: bounds the memory of a very long text.
@@ -128,12 +128,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of each near-duplicate group, with all columns of ``docs``: the smallest id,
-    of equal ids the smallest key; of rows with equal id and text any one."""
+    of equal ids the smallest key; of rows with equal id and text any one.  Columns of any name stay."""
     rows = near_duplicates(docs, id_col, text_col, **how)
     chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("m"))
-    chosen = chosen.select(F.col("m.key").alias("_keep"))
-    marked = docs.withColumn("_keep", row_key(id_col, text_col))
-    return marked.join(chosen, "_keep", "left_semi").dropDuplicates(["_keep"]).drop("_keep")
+    keep, = unused(docs, "_keep")
+    chosen = chosen.select(F.col("m.key").alias(keep))
+    marked = docs.withColumn(keep, row_key(id_col, text_col))
+    return marked.join(chosen, keep, "left_semi").dropDuplicates([keep]).select(*own(docs))
 
 
 def hex_fingerprint(fp: Column) -> Column:
