@@ -4,21 +4,18 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 the shared folder and read back as the next one's ``docs``."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from zonelens.llm import decontam, linededup, mixing, quality, simhash
 from zonelens.llm.common import read, stored
 
 
 def quality_rules(spark, docs, sf_dir):
     """Operator 5: rejected documents go."""
-    led = quality.ledger(docs)
-    return led.filter(quality.verdict(F.col("fails"), "base") & quality.verdict(F.col("fails"), "v2")).select(*docs.columns)
+    return quality.passing(docs, "base", "v2")
 
 
 def line_dedup(spark, docs, sf_dir):
     """Operator 7: cross-site boilerplate lines go, those of one to three words too, every document stays."""
-    return linededup.strip_boilerplate(docs, min_words=1).select(*docs.columns)
+    return linededup.strip_boilerplate(docs, min_words=1, counts=False)
 
 
 def near_duplicates(spark, docs, sf_dir):
