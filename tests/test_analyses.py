@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from zonelens.plans import analyses, q_chains, q_readings
+from zonelens.plans import analyses, q_chains, q_readings, q_series
 from zonelens.plans.config import EVENT_MEASURES as M
 from zonelens.plans.config import EVENT_SCALE
 
@@ -40,3 +40,21 @@ def test_literature_with_text_ids(spark):
     assert rows and all(r.doc_id.startswith("W") and r.doc_id != "W1" for r in rows)
     assert len({r.doc_id for r in rows}) == len(rows) == res.outliers.count()
     assert {"cited", "is_outlier", "map_x"} <= set(res.report.columns)
+    assert {r.doc_id for r in res.neighbour_map.collect()} == {r.doc_id for r in rows}
+
+
+def test_forecast_from_a_csv_folder(spark, tmp_path):
+    """Files of two column orders and a value that is no number: the forecast of the same rows as a table."""
+    rows = q_series.stations(spark, SF)
+    text = rows.select(F.col("station").cast("string"), F.date_format("ReadTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ReadTime"), F.col("PM25").cast("string"),
+                       F.coalesce(F.col("PM10").cast("string"), F.lit("n/a")).alias("PM10"))
+    text.filter("station % 2 = 0").write.option("header", True).csv(f"file://{tmp_path}/all/a")
+    text.filter("station % 2 = 1").select("PM10", "ReadTime", "PM25", "station").write.option("header", True).csv(f"file://{tmp_path}/all/b")
+    got = analyses.forecast_csv(spark, f"file://{tmp_path}/all/*", num_trees=5, max_depth=4)
+    want = analyses.forecast(rows.withColumn("station", F.col("station").cast("string")), num_trees=5, max_depth=4)
+    pick = lambda f: sorted((r.station, r.ReadTime, r.split, round(r.PM25, 9)) for r in f.predictions.collect())
+    assert pick(got) == pick(want)
+    m, n = ({r.split: r.asDict() for r in f.metrics.collect()} for f in (got, want))
+    assert set(m) == set(n) == {"train", "test"}
+    for s in m:
+        assert all(m[s][c] == pytest.approx(n[s][c], rel=0.2) for c in m[s] if c != "split")

@@ -1,21 +1,23 @@
-"""The four analyses as parameterised functions, DataFrame in, results out.
+"""The analyses as parameterised functions, DataFrame in, results out.
 
 ``zones``         district profiles -> capping -> k-means with k chosen by silhouette
 ``drivers``       hourly vectors -> principal components (all rows: one covariance aggregate)
 ``correlations``  concurrent vectors -> Pearson matrix and the strongest pairs
 ``forecast``      station series -> features -> split -> random forest -> metrics, importances
-``literature``    documents (+ metadata) -> TF-IDF -> map, LOF, topics, enriched table
+``forecast_csv``  the same from a folder of station CSV files
+``literature``    documents (+ metadata) -> TF-IDF -> maps, LOF, topics, enriched table
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from zonelens.operators import drivers as drv
-from zonelens.operators import embed, forecast as fc, neighbours as nb, profile, sample, sparse, stats
+from zonelens.operators import clean, drivers as drv
+from zonelens.operators import embed, forecast as fc, layout, neighbours as nb, profile, sample, sparse, stats
 from zonelens.operators import text as tx, timeseries as ts, zones as zn
+from zonelens.sources import files
 
 
 def zones(readings: DataFrame, measures: Sequence[str], *, key: str = "district",
@@ -77,11 +79,20 @@ def forecast(stations: DataFrame, spec: ts.SeriesSpec = ts.SeriesSpec(), *, spli
                     res.importances(stations.sparkSession), preds, res)
 
 
+def forecast_csv(spark: SparkSession, path: str, spec: ts.SeriesSpec = ts.SeriesSpec(), *, sep: str = ",", **how) -> Forecast:
+    """``forecast`` of a folder of station CSV files, columns matched by name whatever their order: all but the
+    key and the time become numbers (bad text: null), the time is parsed (bad text: null)."""
+    keys = [spec.key, spec.time]
+    stations = clean.parse_time(clean.cast_measures(files.read_csv_dir(spark, path, keys, sep=sep), keys), spec.time)
+    return forecast(zn.checkpointed(stations), spec, **how)
+
+
 @dataclass
 class Literature:
     vocabulary: DataFrame
     postings: DataFrame
     doc_map: DataFrame
+    neighbour_map: DataFrame
     outliers: DataFrame
     topics: DataFrame
     topic_terms: DataFrame
@@ -105,10 +116,12 @@ def literature(documents: DataFrame, metadata: DataFrame | None = None, *, lang:
     emb = embed.randomized_pca(rows, vocab.count(), k=components, seed=seed)
     dmap = emb.scores.selectExpr("doc_id", "embedding[0] AS map_x", "embedding[1] AS map_y")
     k = min(n_neighbors, proc.count() - 1)
-    neigh = sparse.sparse_knn(rows, k, vocab.count())
+    neigh = zn.checkpointed(sparse.sparse_knn(rows, k, vocab.count()))
+    at = layout.graph_layout(neigh, emb.scores.selectExpr("doc_id AS id", "embedding AS vec"))
+    nmap = at.selectExpr("id AS doc_id", "xy[0] AS map_x", "xy[1] AS map_y")
     outliers = nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), contamination)
     topics, model = zn.topics(rows, vocab.count(), k=n_topics, seed=seed)
     report = dmap.join(outliers, "doc_id").join(topics, "doc_id")
     if metadata is not None:
         report = tx.join_metadata(report, metadata)
-    return Literature(vocab, postings, dmap, outliers, topics, zn.topic_terms(spark, model, vocab), report)
+    return Literature(vocab, postings, dmap, nmap, outliers, topics, zn.topic_terms(spark, model, vocab), report)

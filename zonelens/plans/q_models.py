@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonelens.operators import embed, forecast, neighbours as nb, sparse, text as tx, timeseries as ts, zones as zn
-from zonelens.plans import q_readings, q_series, q_text
+from zonelens.operators import embed, forecast, layout, neighbours as nb, sparse, text as tx, timeseries as ts, zones as zn
+from zonelens.plans import analyses, q_io, q_readings, q_series, q_text
 from zonelens.plans.config import EVENT_MEASURES, EVENT_SCALE
 from zonelens.plans.registry import register, table
+from zonelens.session import staging_path
+from zonelens.sources import files
 
 _MEMO: dict = {}
 
@@ -133,11 +135,26 @@ def doc_map(spark, sf):
     return doc_map_df(spark, sf)
 
 
-def text_lof(spark, sf):
+def text_neighbours(spark, sf):
+    """(k, the k nearest documents of each): written once, for the outliers and the layout."""
     def fit():
         p, rows, vocab = literature(spark, sf)
         k = min(20, p.count() - 1)
-        neigh = sparse.sparse_knn(rows, k, vocab.count())
+        return k, zn.checkpointed(sparse.sparse_knn(rows, k, vocab.count()))
+    return _memo(("text_neighbours", _app(spark), sf), fit)
+
+
+@register("doc_map_neighbours")
+def doc_map_neighbours(spark, sf):
+    """2-D map of the documents that follows the graph of their nearest documents."""
+    points = embed_result(spark, sf).scores.select(F.col("doc_id").alias("id"), F.col("embedding").alias("vec"))
+    at = layout.graph_layout(text_neighbours(spark, sf)[1], points)
+    return at.select(F.col("id").alias("doc_id"), F.col("xy")[0].alias("map_x"), F.col("xy")[1].alias("map_y"))
+
+
+def text_lof(spark, sf):
+    def fit():
+        k, neigh = text_neighbours(spark, sf)
         return nb.flag_outliers(nb.lof(neigh, k).withColumnRenamed("id", "doc_id"), 0.1)
     return _memo(("text_lof", _app(spark), sf), fit)
 
@@ -151,6 +168,21 @@ def corpus_report(spark, sf):
             .join(topics_result(spark, sf)[0], "doc_id"))
 
 
+@register("corpus_report_csv")
+def corpus_report_csv(spark, sf):
+    """H25 + A6: the enriched corpus written as CSV and read back typed."""
+    report = corpus_report(spark, sf)
+    path = staging_path(spark, "corpus-csv")
+    files.write_csv(report, path)
+    return files.read_csv(spark, path, report.schema)
+
+
+@register("forecast_from_csv")
+def forecast_from_csv(spark, sf):
+    """A2 + B4 + B5 + H7 + H15 + H17 as one chain: a folder of station CSV files to the forecast's metrics."""
+    return analyses.forecast_csv(spark, q_io.station_csv_dir(spark, sf), num_trees=100, max_depth=10, seed=42).metrics
+
+
 def forecast_leak_free(spark, sf):
     def fit():
         spec = ts.SeriesSpec(leak_free=True)

@@ -5,6 +5,8 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -54,6 +56,25 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}zonelens-staging/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope that owns what is made inside it: checkpoints and staging tables go to a folder of their own below
+    the shared one, which is deleted at the end, after errors too.
+
+    Write results inside the scope; frames made in it cannot be read after it.  Checkpoints made before stay,
+    and later ones go to the shared folder again.  Scopes may be nested, and must not overlap on threads."""
+    sc = spark.sparkContext
+    outer = shared_dir(spark)
+    folder = f"{outer}/scope-{uuid.uuid4().hex[:12]}"
+    sc.setCheckpointDir(folder)
+    try:
+        yield folder
+    finally:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or outer.rsplit("/", 1)[0])
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
