@@ -25,6 +25,8 @@ URL_PATTERN = f"http{NON_SPACE}+|www{NON_SPACE}+|https{NON_SPACE}+"
 AT_PATTERN = f"{NON_SPACE}*@{NON_SPACE}*{SPACE}?"
 CITATION_PATTERN = rf"\[{DIGIT}+(?:,{SPACE}*{DIGIT}+)*\]"
 SPACE_RUN = f"{SPACE}+"
+#: The runs that differ from the one blank they become.
+LOOSE_SPACE = f" {SPACE}+|[{WS}&&[^ ]]{SPACE}*"
 
 # Tokeniser rule (a stand-in for a Treebank-style word tokeniser followed by the
 # "alphabetic, longer than 2" test): split on whitespace and the punctuation a
@@ -67,11 +69,12 @@ def stopwords() -> tuple[str, ...]:
 
 
 def clean_text(col: Column) -> Column:
-    """The four cleaning substitutions, in order."""
+    """The four cleaning substitutions, in order.  A text without the letters that the first three begin with is left to the last."""
     c = F.regexp_replace(col, URL_PATTERN, "")
     c = F.regexp_replace(c, AT_PATTERN, "")
     c = F.regexp_replace(c, CITATION_PATTERN, "")
-    return F.regexp_replace(c, SPACE_RUN, " ")
+    marked = col.contains("http") | col.contains("www") | col.contains("@") | col.contains("[")
+    return F.regexp_replace(F.when(marked, c).otherwise(col), LOOSE_SPACE, " ")
 
 
 def tokens(cleaned: Column, stop: tuple[str, ...] | None = None) -> Column:

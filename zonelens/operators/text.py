@@ -3,12 +3,13 @@
 Per document: cleaning, tokenising, stemming and n-grams are column expressions over the
 token array (``processed``).  A whole corpus is dictionary-encoded instead (``encode``): its distinct tokens
 are stemmed once each and numbered, and documents become arrays of word numbers, so that
-a gram of one or two words is one long and words are read back at the end only.
+a gram of one or two words is one long and words are read back at the end only.  Blocks of documents are split, and their
+words looked up, a block's distinct words at a time (Arrow): a text is never shuffled word by word.
 
 Vocabulary: the ``max_features`` grams of largest corpus count (ties by term) among those in enough and
 not too many documents.  Most pairs of words occur once or twice; a sketch finds the few that matter: the
-counts of all pairs are summed by hash into ``SKETCH`` buckets, which bound every pair's count from above, and pairs
-whose bucket is below the count that ``max_features`` single words reach already, or below ``min_df``, are dropped before
+counts of all counts of all pairs are summed by hash into ``SKETCH`` buckets, which bound every pair's count from above, and pairs
+that hold a word below the least count (a pair is no more frequent than its words) or whose bucket is below the count that ``max_features`` single words reach already, or below ``min_df``, are dropped before
 anything is counted exactly.  The result is exact.
 
 TF-IDF: the vocabulary is bounded by a parameter and broadcast to the documents; its postings are shuffled
@@ -20,6 +21,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 from zonelens.functions import text as T
 from zonelens.functions.stems import stems
+from zonelens.session import send_by_value
 
 
 def corpus(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -51,6 +56,72 @@ def tokenized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", T.tokens(T.clean_text(F.col("text"))).alias("tokens"))
 
 
+#: Bytes of text, and words, of a block of documents (one document at least).
+BLOCK_BYTES, BLOCK_WORDS = 8 << 20, 1 << 20
+send_by_value(__name__)
+
+
+def _pieces(col: pa.Array, limit: int):
+    """(from, to) of stretches of a text or list column of at most ``limit`` bytes or entries, a row at least."""
+    size = pc.fill_null(pc.binary_length(col) if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else pc.list_value_length(col), 0)
+    at = np.concatenate([[0], np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))])
+    a = 0
+    while a < len(col):
+        b = max(a + 1, int(np.searchsorted(at, at[a] + limit, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _parted(prepared: pa.Array, rules: dict) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, number of the word of each place, words of each text) of cleaned, lower-cased texts.  The tests of
+    a word (:func:`zonelens.functions.text.tokens`) run once for a distinct part."""
+    parts = pc.split_pattern_regex(prepared, rules["separators"])
+    found = parts.flatten().dictionary_encode()
+    part = found.dictionary
+    plain = pc.match_substring_regex(part, rules["word"])
+    edge = part
+    for pattern in rules["edges"]:
+        edge = pc.replace_substring_regex(edge, pattern, "")
+    edged = pc.or_(pc.or_(pc.ends_with(part, "."), pc.match_substring(part, "'")), pc.match_substring(part, "`"))
+    word = pc.if_else(plain, part, pc.if_else(edged, edge, ""))
+    good = pc.and_(pc.match_substring_regex(word, rules["word"]), pc.invert(pc.is_in(word, pa.array(rules["stop"], word.type))))
+    named = word.dictionary_encode()
+    code = np.where(good.to_numpy(zero_copy_only=False), named.indices.to_numpy(zero_copy_only=False), -1)
+    code = code[found.indices.to_numpy(zero_copy_only=False)] if len(part) else np.zeros(0, np.int64)
+    width = pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(prepared)), width)[code >= 0]
+    return named.dictionary, code[code >= 0], np.bincount(row, minlength=len(prepared))
+
+
+def _rules() -> dict:
+    return {"separators": T.SEPARATORS, "word": T.WORD, "edges": [T.TRAILING_DOTS, T.CLITIC, T.QUOTES], "stop": T.stopwords()}
+
+
+def _lists(sizes: np.ndarray, values: pa.Array, null: np.ndarray | None = None) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), values, mask=None if null is None else pa.array(null))
+
+
+def _prepared(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.lower(T.clean_text(F.col("text"))).alias("text"))
+
+
+def corpus_tokens(docs: DataFrame) -> DataFrame:
+    """:func:`tokenized` of a whole corpus: the same rows, words tested once for a distinct part of a block."""
+    rows, rules = _prepared(docs), _rules()
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            for a, z in _pieces(b.column(1), BLOCK_BYTES):
+                text = b.column(1).slice(a, z - a)
+                words, code, sizes = _parted(text, rules)
+                null = text.is_null().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), _lists(sizes, words.take(pa.array(code)), null)], names=["doc_id", "tokens"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, tokens array<string>")
+
+
 #: Buckets of the sketch of pair counts (the ones that pass are broadcast).
 SKETCH = 1 << 19
 #: Distinct tokens, and characters of them, up to which the dictionary is broadcast (both are counted); beyond, it is joined by a shuffle.
@@ -99,7 +170,8 @@ def term_frequencies(terms: DataFrame) -> DataFrame:
 
 @dataclass
 class Encoded:
-    """A corpus by numbers, written: documents (row, doc_id, ids: its words in order) and dictionary (id, word)."""
+    """A corpus by numbers, written: documents (row, doc_id, ids: its words of 2+ characters in order; all_ids: all its words,
+    null where that is the same) and dictionary (id, word)."""
     docs: DataFrame
     words: DataFrame
 
@@ -122,39 +194,110 @@ def encode(tokens: DataFrame, col: str = "tokens", *, stem_words: bool = False,
     doc_id stay rows of their own."""
     from zonelens.operators.zones import checkpointed
 
-    rows = checkpointed(tokens.select("doc_id", F.col(col).alias("tokens")).withColumn("row", F.monotonically_increasing_id()))
+    return _encoded(tokens.select("doc_id", F.col(col).alias("x")), None, stem_words, min_chars)
+
+
+def _blocks(rows: DataFrame, rules: dict | None, word: str = "string") -> DataFrame:
+    """One row a block of documents (doc_id, x), written: row numbers, doc_ids, words of each, the distinct words and the number of
+    each place's among them.  ``x`` is a list of words (or their ids), or a text to be parted by ``rules``."""
+    from zonelens.operators.zones import checkpointed
+
+    rows = rows.select(F.monotonically_increasing_id().alias("row") if "row" not in rows.columns else F.col("row"), "doc_id", "x")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shape = f"block long, rows array<long>, doc_ids array<{kind}>, sizes array<int>, codes binary, words array<{word}>"
+
+    def run(batches):
+        for b in batches:
+            for a, z in _pieces(b.column(2), BLOCK_WORDS if rules is None else BLOCK_BYTES):
+                row, ids, x = (b.column(j).slice(a, z - a) for j in range(3))
+                if rules is None:
+                    found = x.flatten().dictionary_encode()
+                    code = found.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                    own = np.repeat(np.arange(z - a), pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False))[code >= 0]
+                    words, code, sizes = found.dictionary, code[code >= 0], np.bincount(own, minlength=z - a)
+                else:
+                    words, code, sizes = _parted(x, rules)
+                    # words of the dictionary that are in no document are not sent
+                    used, code = np.unique(code, return_inverse=True)
+                    words = words.take(pa.array(used))
+                one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+                yield pa.RecordBatch.from_arrays([row.slice(0, 1), one(row), one(ids), one(pa.array(sizes, pa.int32())),
+                                                  pa.array([code.astype("<i4").tobytes()], pa.binary()), one(words)],
+                                                 names=["block", "rows", "doc_ids", "sizes", "codes", "words"])
+
+    return checkpointed(rows.mapInArrow(run, shape))
+
+
+def _looked_up(blocks: DataFrame, table: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """The blocks with ``found``: (pos, fields) of their distinct words in the table."""
+    each = blocks.select("block", F.posexplode("words").alias("pos", "t")).join(table, F.col("t") == F.col(key))
+    found = each.groupBy(F.col("block").alias("b")).agg(F.collect_list(F.struct("pos", *fields)).alias("found"))
+    return blocks.drop("words").join(found, F.col("block") == F.col("b"), "left").drop("block", "b")
+
+
+def _opened(b: pa.RecordBatch, fields: list[str]):
+    """For each block: row numbers, doc_ids, words of each document, and the fields of every place."""
+    for k in range(b.num_rows):
+        rows, ids, sizes, found = (b.column(j).slice(k, 1).flatten() for j in (0, 1, 2, 4))
+        code = np.frombuffer(b.column(3)[k].as_py(), "<i4")
+        at = np.argsort(found.field("pos").to_numpy(zero_copy_only=False))[code]
+        yield rows, ids, sizes.to_numpy(zero_copy_only=False), [found.field(f).take(pa.array(at)) for f in fields]
+
+
+def _encoded(rows: DataFrame, rules: dict | None, stem_words: bool, min_chars: int | None) -> Encoded:
+    from zonelens.operators.zones import checkpointed
+
+    blocks = _blocks(rows, rules)
     if stem_words:
-        table = stem_table(rows).withColumnRenamed("stem", "word")
+        table = stem_table(blocks, "words").withColumnRenamed("stem", "word")
     else:
-        table = rows.select(F.explode("tokens").alias("token")).distinct().withColumn("word", F.col("token"))
+        table = blocks.select(F.explode("words").alias("token")).distinct().withColumn("word", F.col("token"))
     table = checkpointed(table)
     words = numbered(table.select("word").distinct(), "word")
-    number = table.join(words.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).select("token", "id", F.length("word").alias("size"))
+    number = table.join(words.withColumnRenamed("word", "w"), F.col("word") == F.col("w")).select(
+        "token", F.col("id").cast("int").alias("id"), F.length("word").alias("size"))
     size = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("token")).alias("chars")).first()
     if size["n"] <= DICTIONARY_ROWS and (size["chars"] or 0) <= DICTIONARY_CHARS:
         number = F.broadcast(number)
-    each = rows.select("row", "doc_id", F.posexplode_outer("tokens").alias("pos", "t")).join(number, F.col("t") == F.col("token"), "left")
-    docs = each.groupBy("row", "doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id", "size")))), lambda x: F.struct(x["id"].alias("id"), x["size"].alias("size"))).alias("e"))
-    if min_chars is not None:
-        chars = F.aggregate("e", F.lit(-1), lambda n, x: n + x["size"] + 1)
-        docs = docs.filter(chars > min_chars)
-    # as the vectoriser re-reads the processed text: words of 2+ characters make grams
-    docs = docs.select("row", "doc_id", F.transform("e", lambda x: x["id"]).alias("all_ids"),
-                       F.transform(F.filter("e", lambda x: x["size"] >= 2), lambda x: x["id"]).alias("ids"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            for row, ids, n, (word, chars) in _opened(b, ["id", "size"]):
+                word, chars = word.to_numpy(zero_copy_only=False), chars.to_numpy(zero_copy_only=False)
+                own = np.repeat(np.arange(len(n)), n)
+                kept = np.ones(len(n), bool)
+                if min_chars is not None:
+                    kept = np.bincount(own, chars + 1, minlength=len(n)) - 1 > min_chars
+                # as the vectoriser re-reads the processed text: words of 2+ characters make grams
+                long = chars >= 2
+                short = np.bincount(own[~long], minlength=len(n)) > 0
+                lists = []
+                for at, null in ((kept[own] & short[own], ~short[kept]), (kept[own] & long, None)):
+                    lists.append(_lists(np.bincount(own[at], minlength=len(n))[kept], pa.array(word[at], pa.int32()), null))
+                yield pa.RecordBatch.from_arrays([row.filter(pa.array(kept)), ids.filter(pa.array(kept)), *lists], names=["row", "doc_id", "all_ids", "ids"])
+
+    docs = _looked_up(blocks, number, "token", ["id", "size"]).mapInArrow(run, f"row long, doc_id {kind}, all_ids array<int>, ids array<int>")
     return Encoded(checkpointed(docs), words)
 
 
 def encoded(docs: DataFrame, *, stem_words: bool = True, min_chars: int = 200) -> Encoded:
     """:func:`processed` of a whole corpus, encoded: the same documents and words."""
-    return encode(tokenized(docs), stem_words=stem_words, min_chars=min_chars)
+    return _encoded(_prepared(docs).withColumnRenamed("text", "x"), _rules(), stem_words, min_chars)
 
 
 def decoded(corpus_: Encoded) -> DataFrame:
     """(doc_id, text): the words of every document read back and joined by blanks."""
-    each = corpus_.docs.select("row", "doc_id", F.posexplode_outer("all_ids").alias("pos", "id")).join(corpus_.words, "id", "left")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
-    return each.groupBy("row", "doc_id").agg(text.alias("text")).select("doc_id", "text")
+    rows = corpus_.docs.select("row", "doc_id", F.coalesce("all_ids", "ids").alias("x"))
+    blocks = _blocks(rows, None, "int")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            for _, ids, n, (word,) in _opened(b, ["word"]):
+                yield pa.RecordBatch.from_arrays([ids, pc.binary_join(_lists(n, word), " ")], names=["doc_id", "text"])
+
+    return _looked_up(blocks, corpus_.words, "id", ["word"]).mapInArrow(run, f"doc_id {kind}, text string")
 
 
 @dataclass
@@ -165,39 +308,83 @@ class TfidfResult:
 
 
 def _singles(ids: Column) -> Column:
-    return F.transform(ids, lambda a: F.shiftleft(a, 31))
+    return F.transform(ids, lambda a: F.shiftleft(a.cast("long"), 31))
 
 
 def _pairs(ids: Column) -> Column:
     n = F.greatest(F.size(ids) - 1, F.lit(0))
-    return F.zip_with(F.slice(ids, 1, n), F.slice(ids, 2, n), lambda a, b: F.shiftleft(a, 31) + b + 1)
+    return F.zip_with(F.slice(ids, 1, n), F.slice(ids, 2, n), lambda a, b: F.shiftleft(a.cast("long"), 31) + b + 1)
 
 
-def _grams(n_max: int) -> Column:
-    if n_max not in (1, 2):
-        raise ValueError("grams of one or two words only")
-    return _singles(F.col("ids")) if n_max == 1 else F.concat(_singles(F.col("ids")), _pairs(F.col("ids")))
+#: The hash of the sketch, the same in Spark and in numpy: ((g mod first) * second mod third) mod SKETCH.
+HASH = (2_147_483_629, 1_299_709, 2_147_483_587)
 
 
 def _bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(SKETCH)).cast("int")
+    a, b, c = HASH
+    return F.pmod((gram % a) * b % c, F.lit(SKETCH)).cast("int")
+
+
+def _pair_buckets(g: np.ndarray) -> np.ndarray:
+    a, b, c = HASH
+    return g % a * b % c % SKETCH
+
+
+def _places(ids: pa.Array, heavy: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, pair) of every pair of neighbours, of those only whose words are both ``heavy`` (sorted ids) if such are given."""
+    word = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(ids)), ids.value_lengths().to_numpy(zero_copy_only=False))
+    both = row[1:] == row[:-1]
+    if heavy is not None:
+        good = heavy[np.minimum(np.searchsorted(heavy, word), len(heavy) - 1)] == word if len(heavy) else np.zeros(len(word), bool)
+        both &= good[1:] & good[:-1]
+    return row[1:][both], (word[:-1][both] << 31) + word[1:][both] + 1
 
 
-def _counts(docs: DataFrame, grams: Column, passing: DataFrame | None = None) -> DataFrame:
-    """(g, df, total) of the grams, of those in a passing bucket only if such are given."""
-    def each(values):
-        rows = docs.select(F.explode(values).alias("g"))
-        return rows if passing is None else rows.withColumn("bucket", _bucket(F.col("g"))).join(F.broadcast(passing), "bucket", "left_semi")
+def _every_single(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return (np.repeat(np.arange(len(ids)), ids.value_lengths().to_numpy(zero_copy_only=False)),
+            ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64) << 31)
 
-    total = each(grams).groupBy("g").agg(F.count(F.lit(1)).alias("total"))
-    df = each(F.array_distinct(grams)).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    return df.join(total, "g")
 
+def _runs(row: np.ndarray, g: np.ndarray):
+    """(row, gram, count) of the distinct ones, by gram and row; rows come in order."""
+    order = np.argsort(g, kind="stable")
+    row, g = row[order], g[order]
+    at = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (row[1:] != row[:-1])])) if len(g) else np.zeros(0, int)
+    return row[at], g[at], np.diff(at, append=len(g))
 
-def passing_buckets(docs: DataFrame, least: int) -> DataFrame:
-    """The buckets of the sketch whose pairs may reach the count ``least``: at most ``SKETCH`` rows."""
-    pairs = docs.select(F.explode(_pairs(F.col("ids"))).alias("g")).select(_bucket(F.col("g")).alias("bucket"))
-    return pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("bucket")
+
+def _counts(docs: DataFrame, grams) -> DataFrame:
+    """(g, df, total) of the grams: ``grams`` gives (row, gram) of every place of a block."""
+    def run(batches):
+        for b in batches:
+            for a, z in _pieces(b.column(0), BLOCK_WORDS):
+                _, g, n = _runs(*grams(b.column(0).slice(a, z - a)))
+                at = np.flatnonzero(np.diff(g, prepend=-1))
+                total = np.add.reduceat(n, at) if len(at) else n
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g[at], np.diff(at, append=len(g)), total)], names=["g", "df", "total"])
+
+    parts = docs.select("ids").mapInArrow(run, "g long, df long, total long")
+    return parts.groupBy("g").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
+def passing_buckets(docs: DataFrame, least: int, heavy: np.ndarray | None = None) -> DataFrame:
+    """The buckets of the sketch whose pairs (of ``heavy`` words, if given) may reach the count ``least``: at most ``SKETCH`` rows."""
+    def run(batches):
+        n = np.zeros(SKETCH, np.int64)
+        for b in batches:
+            for a, z in _pieces(b.column(0), BLOCK_WORDS):
+                n += np.bincount(_pair_buckets(_places(b.column(0).slice(a, z - a), heavy)[1]), minlength=SKETCH)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["bucket", "n"])
+
+    parts = docs.select("ids").mapInArrow(run, "bucket int, n long")
+    return parts.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("bucket")
+
+
+def _check_grams(n_max: int) -> None:
+    if n_max not in (1, 2):
+        raise ValueError("grams of one or two words only")
 
 
 def vocabulary(corpus_: Encoded, *, min_df: int = 3, max_df: float = 0.9, max_features: int = 5000, n_max: int = 2) -> DataFrame:
@@ -205,16 +392,31 @@ def vocabulary(corpus_: Encoded, *, min_df: int = 3, max_df: float = 0.9, max_fe
     ``max_df * n`` of them, the ``max_features`` most frequent in the corpus (ties: term), indexed alphabetically."""
     from zonelens.operators.zones import checkpointed
 
-    _grams(n_max)
+    _check_grams(n_max)
     docs = corpus_.docs
     n_docs = docs.count()
     fit = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs)
-    kept = checkpointed(_counts(docs, _singles(F.col("ids"))).filter(fit))
+    singles = checkpointed(_counts(docs, _every_single).filter(F.col("df") >= min_df))
+    kept = singles.filter(fit)
     if n_max == 2:
         top = kept.orderBy(F.col("total").desc()).select("total").limit(max_features).agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("least")).first()
         least = max(min_df, top["least"] if top["n"] == max_features else 0)
-        passing = checkpointed(passing_buckets(docs, least))
-        kept = kept.unionByName(checkpointed(_counts(docs, _pairs(F.col("ids")), passing).filter(fit & (F.col("total") >= least))))
+        # a pair is in no more documents, and no more often there, than its words
+        frequent = singles.filter(F.col("total") >= least).select(F.shiftright("g", 31).alias("id")).orderBy("id")
+        heavy = None
+        if frequent.count() <= DICTIONARY_ROWS:
+            heavy = frequent.toArrow()["id"].to_numpy().astype(np.int64)
+        passing = np.zeros(SKETCH, bool)
+        passing[passing_buckets(docs, least, heavy).toArrow()["bucket"].to_numpy()] = True
+        sent = docs.sparkSession.sparkContext.broadcast((heavy, passing))
+
+        def pairs(ids):
+            own, may = sent.value
+            row, g = _places(ids, own)
+            good = may[_pair_buckets(g)]
+            return row[good], g[good]
+
+        kept = kept.unionByName(checkpointed(_counts(docs, pairs).filter(fit & (F.col("total") >= least))))
     first, second = F.shiftright("g", 31), F.col("g").bitwiseAND((1 << 31) - 1) - 1
     a = corpus_.words.select(F.col("id").alias("ia"), F.col("word").alias("wa"))
     b = corpus_.words.select(F.col("id").alias("ib"), F.col("word").alias("wb"))
@@ -232,9 +434,27 @@ def tfidf(proc: DataFrame | Encoded, *, min_df: int = 3, max_df: float = 0.9, ma
     """Smoothed TF-IDF postings (long form) of an encoded corpus, or of processed documents (doc_id, words)."""
     corpus_ = proc if isinstance(proc, Encoded) else encode(proc, "words")
     vocab = vocabulary(corpus_, min_df=min_df, max_df=max_df, max_features=max_features, n_max=n_max)
-    each = corpus_.docs.select("doc_id", F.explode(_grams(n_max)).alias("g")).join(F.broadcast(vocab.select("g", "term", "term_index", "idf")), "g")
+    known = vocab.select("g", "term_index").orderBy("g").toArrow()  # at most max_features rows
+    sent = vocab.sparkSession.sparkContext.broadcast((known["g"].to_numpy(), known["term_index"].to_numpy()))
+    kind = corpus_.docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        g, index = sent.value
+        for b in batches:
+            for a, z in _pieces(b.column(1), BLOCK_WORDS):
+                ids = b.column(1).slice(a, z - a)
+                grams = [_every_single(ids), _places(ids)][:n_max]
+                row, found = (np.concatenate(x) for x in zip(*grams))
+                at = np.minimum(np.searchsorted(g, found), max(len(g) - 1, 0))
+                good = g[at] == found if len(g) else np.zeros(len(found), bool)
+                row, at, n = _runs(row[good], at[good])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a).take(pa.array(row)), pa.array(index[at], pa.int32()), pa.array(n, pa.int64())],
+                                                 names=["doc_id", "term_index", "n"])
+
+    each = corpus_.docs.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, term_index int, n long")
     # one shuffle, by document: counts and norm both keep to it
-    tf = each.repartition("doc_id").groupBy("doc_id", "term", "term_index", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    tf = each.repartition("doc_id").groupBy("doc_id", "term_index").agg(F.sum("n").alias("tf"))
+    tf = tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term_index")
     tf = tf.withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return TfidfResult(vocab.drop("g"), tf.select("doc_id", "term", "term_index", "tf", (F.col("w") / norm).alias("weight")))
