@@ -40,3 +40,26 @@ def test_scope_deletes_after_an_error_and_nests(spark):
             checkpointed(spark.range(3))
             raise ValueError
     assert not os.path.exists(local(outer))
+
+
+def test_shuffle_files_go_when_no_frame_refers_to_them(spark):
+    """A driver with free memory collects nothing for long; what a step shuffled must not stay beside the next one's."""
+    import glob
+    import time
+
+    from zonelens import session
+
+    jc = spark.sparkContext._jsc.sc()
+    dirs = [str(d) for d in jc.env().blockManager().diskBlockManager().localDirsString()]
+    held = lambda: {f for d in dirs for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    session.release(spark)
+    time.sleep(1)
+    before = held()
+    written = spark.range(20000).repartition(3, "id").checkpoint()
+    assert held() - before
+    for _ in range(10):  # the cleaner works on its own thread
+        session.release(spark)
+        time.sleep(0.5)
+        if not held() - before:
+            break
+    assert not held() - before and written.count() == 20000
